@@ -19,7 +19,7 @@ from tidegauge.functions.scalar import (
     round_half_up,
     to_celsius,
 )
-from tidegauge.functions.timeops import HOUR, tumbling
+from tidegauge.functions.timeops import HOUR, tumbling, with_event_time
 from tidegauge.operators import (
     alerts,
     control,
@@ -34,10 +34,12 @@ from tidegauge.plans import watermarks
 from tidegauge.session import prepare
 from tidegauge.sources import kafka
 from tidegauge.sources import readings as src
+from tidegauge.streaming import jobs
 
 DAY = 24 * HOUR
 BOUND = 5 * HOUR
 LATENESS = 5 * HOUR
+STEPS = 3
 SHOWN = [f"sensor_{i}" for i in range(1, 6)]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +135,29 @@ def _kafka_decode(events: DataFrame) -> DataFrame:
     return kafka.decode_counts(records.select(*encoded.columns, "partition", "offset"))
 
 
+def _live(name: str, job: Callable[[DataFrame], DataFrame]) -> Query:
+    """Run a live job over the event table to its end."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return jobs.replay(job(src.stream_events(prepare(spark), sf_dir)), name)
+
+    return run
+
+
+def _stream_tumbling_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    live = with_event_time(src.readings_of_events(src.stream_events(prepare(spark), sf_dir)))
+    return jobs.replay(jobs.window_max(live, 10 * HOUR, BOUND), "tumbling_max")
+
+
+def _in_steps(name: str, job: jobs.Job) -> Query:
+    """Run a live job over the disordered readings, in a few arrival steps."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return jobs.replay_in_steps(_disordered(spark, sf_dir), STEPS, job, name, 10 * DAY)
+
+    return run
+
+
 def _display(rounding: Callable) -> Callable[[DataFrame], DataFrame]:
     return lambda readings: readings.select(
         "seq", rounding(to_celsius(F.col("temperature"))).alias("temperature")
@@ -212,6 +237,37 @@ def queries() -> dict[str, Query]:
         "latest_max_per_key": _latest,
         "latest_lookup": lambda spark, sf_dir: latest.lookup(_latest(spark, sf_dir), SHOWN),
         "dashboard_pivot": lambda spark, sf_dir: latest.dashboard(_latest(spark, sf_dir), SHOWN),
+        # the same operators run live
+        "stream_tumbling_max": _stream_tumbling_max,
+        "stream_running_count": _live(
+            "running_count", lambda e: jobs.name_counts(src.names_of_events(e))
+        ),
+        "stream_rolling_max_record": _live(
+            "rolling_max", lambda e: jobs.rolling_max_record(src.readings_of_events(e))
+        ),
+        "stream_temp_change_alerts": _live(
+            "change_alerts", lambda e: jobs.change_alerts(src.readings_of_events(e))
+        ),
+        "stream_switch_forward": _live(
+            "switch_forward",
+            lambda e: jobs.forward_switched(
+                src.switchable_readings_of_events(e), src.switches_of_events(e)
+            ),
+        ),
+        "stream_fire_alerts": _live(
+            "fire_alerts",
+            lambda e: jobs.fire_alerts(
+                src.smoke_readings_of_events(e), src.smoke_levels_of_events(e)
+            ),
+        ),
+        "stream_late_update_counts": _in_steps(
+            "late_updates",
+            lambda r: jobs.updated_window_counts(r, 10 * HOUR, LATENESS, BOUND),
+        ),
+        "stream_self_cleaning_alerts": _in_steps(
+            "self_cleaning",
+            lambda r: jobs.self_cleaning_alerts(r, 1.7, DAY, BOUND, horizon_ms=2 * DAY),
+        ),
         # Kafka record format
         "kafka_encode_counts": _on_events(_kafka_encode),
         "kafka_decode_counts": _on_events(_kafka_decode),
@@ -318,11 +374,20 @@ SELECT p.id, p.end_ts, p.ev AS eval_time, count(*) AS cnt
 FROM points p JOIN accepted a ON a.id = p.id AND a.end_ts = p.end_ts AND a.seq <= p.j
 GROUP BY p.id, p.end_ts, p.j, p.ev"""
 
-_LATE_UPDATES = f"""WITH {_MARKED},
+# Between steps only: the watermark is what the steps before have raised it to.
+_STEPPED = _DISORDERED + f""",
+marked AS (
+  SELECT seq, id, "timestamp", temperature,
+         coalesce(max("timestamp" - {BOUND} - 1) OVER (ORDER BY step
+           RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -9223372036854775807) AS wm
+  FROM (SELECT *, seq // ((SELECT max(seq) FROM disordered) // {STEPS} + 1) AS step
+        FROM disordered))"""
+
+_LATE_UPDATES = """WITH {marked},
 accepted AS (
   SELECT id, end_ts, seq, (wm >= end_ts - 1)::INT AS late
-  FROM (SELECT seq, id, {_sql_end(10 * HOUR)} AS end_ts, wm FROM marked)
-  WHERE wm < end_ts - 1 + {LATENESS}),
+  FROM (SELECT seq, id, {end} AS end_ts, wm FROM marked)
+  WHERE wm < end_ts - 1 + {lateness}),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY id, end_ts ORDER BY late, seq) AS n,
          count(*) FILTER (late = 0) OVER (PARTITION BY id, end_ts) AS punctual
@@ -331,6 +396,20 @@ SELECT id, end_ts, n AS cnt,
        CASE WHEN late = 0 OR (punctual = 0 AND n = 1) THEN 'first' ELSE 'update' END AS tag
 FROM ranked WHERE late = 1 OR n = punctual"""
 
+
+
+def _sql_late_updates(marked: str) -> str:
+    return _LATE_UPDATES.format(marked=marked, end=_sql_end(10 * HOUR), lateness=LATENESS)
+
+
+def _sql_self_cleaning(marked: str) -> str:
+    return f"""WITH {marked}
+SELECT id, temperature, abs(temperature - p) AS diff FROM (
+  SELECT *, lag(temperature) OVER k AS p, lag("timestamp") OVER k AS seen
+  FROM marked WINDOW k AS (PARTITION BY id ORDER BY seq))
+WHERE wm < seen + {DAY} AND abs(temperature - p) > 1.7::DOUBLE"""
+
+
 _RISES = f"""WITH RECURSIVE {_READINGS},
 ordered AS (
   SELECT id, "timestamp" AS t, temperature AS v,
@@ -356,6 +435,24 @@ FROM warned"""
 
 
 def oracle_sql() -> dict[str, str]:
+    sql = _batch_sql()
+    for name in (
+        "running_count",
+        "rolling_max_record",
+        "temp_change_alerts",
+        "switch_forward",
+        "fire_alerts",
+    ):
+        sql[f"stream_{name}"] = sql[name]
+    # only windows the last watermark has reached have been emitted
+    sql["stream_tumbling_max"] = f"""SELECT * FROM ({sql["tumbling_max"]})
+        WHERE end_ts <= (SELECT max(epoch_us(ts) // 1000) - {BOUND} FROM events)"""
+    sql["stream_late_update_counts"] = _sql_late_updates(_STEPPED)
+    sql["stream_self_cleaning_alerts"] = _sql_self_cleaning(_STEPPED)
+    return sql
+
+
+def _batch_sql() -> dict[str, str]:
     from_readings = f"WITH {_READINGS} "
     from_marked = f"WITH {_MARKED} "
     shown = ", ".join(f"'{i}'" for i in SHOWN)
@@ -432,17 +529,13 @@ def oracle_sql() -> dict[str, str]:
         "late_window_rows": from_marked
         + f"""SELECT seq, id, "timestamp", temperature FROM marked
             WHERE wm >= {_sql_end(10 * HOUR)} - 1""",
-        "late_update_counts": _LATE_UPDATES,
+        "late_update_counts": _sql_late_updates(_MARKED),
         "early_fire_counts": _EARLY,
         "temp_change_alerts": from_readings
         + """SELECT id, temperature, abs(temperature - p) AS diff FROM (
             SELECT *, lag(temperature) OVER (PARTITION BY id ORDER BY seq) AS p FROM readings)
             WHERE abs(temperature - p) > 1.7::DOUBLE""",
-        "self_cleaning_alerts": from_marked
-        + f"""SELECT id, temperature, abs(temperature - p) AS diff FROM (
-            SELECT *, lag(temperature) OVER k AS p, lag("timestamp") OVER k AS seen
-            FROM marked WINDOW k AS (PARTITION BY id ORDER BY seq))
-            WHERE wm < seen + {DAY} AND abs(temperature - p) > 1.7::DOUBLE""",
+        "self_cleaning_alerts": _sql_self_cleaning(_MARKED),
         "rise_warnings": _RISES,
         "fire_alerts": f"""WITH {_READINGS}, smoke AS (
               SELECT "timestamp" AS s, lead("timestamp") OVER (ORDER BY seq) AS e, event_type AS y
@@ -455,11 +548,11 @@ def oracle_sql() -> dict[str, str]:
             WHERE v.event_type NOT IN ('error', 'signup')
               AND y = 'error' AND r.temperature > 100""",
         "switch_forward": f"""WITH {_READINGS}, switches AS (
-              SELECT 'sensor_' || user_id AS id, epoch_us(ts) // 1000 AS s, event_id AS at,
+              SELECT 'sensor_' || user_id AS id, epoch_us(ts) // 1000 AS s, event_id AS switch_seq,
                      (event_id % 3 + 1) * {12 * HOUR} AS d
               FROM events WHERE event_type = 'signup')
             SELECT seq, id, "timestamp", temperature FROM readings r
-            WHERE seq NOT IN (SELECT at FROM switches) AND EXISTS (SELECT 1 FROM switches x WHERE x.id = r.id
+            WHERE seq NOT IN (SELECT switch_seq FROM switches) AND EXISTS (SELECT 1 FROM switches x WHERE x.id = r.id
               AND r."timestamp" >= x.s AND r."timestamp" < x.s + x.d)""",
         "latest_max_per_key": f"WITH {_READINGS}, {_LATEST} SELECT id, temperature FROM latest",
         "latest_lookup": f"WITH {_READINGS}, {_LATEST} "

@@ -59,6 +59,13 @@ def stream_readings(spark: SparkSession, path: str, **options) -> DataFrame:
     return with_event_time(spark.readStream.schema(READING).options(**options).parquet(path))
 
 
+def stream_events(spark: SparkSession, folder: str, table: str = "events", **options) -> DataFrame:
+    """A recorded event table as a live source, be it one file or a folder of files."""
+    live = spark.readStream.schema(EVENT).options(**options)
+    # a pattern, as the file source takes plain paths for folders
+    return live.parquet(f"{folder}/{{{table}}}.parquet")
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines, one row each, in column ``value``."""
     return spark.read.text(path)
