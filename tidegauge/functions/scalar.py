@@ -11,9 +11,9 @@ FREEZING_TEXT = "Freezing Alarm for "
 FIRE_TEXT = "Risk of fire! "
 RISE_TEXT = ("Temperature of sensor '", "' monotonically increased for 1 second.")
 
-# The characters that separate words.
-ONE_SPACE = " "
-WHITESPACE = r"[ \t\n\x0B\f\r]+"
+# What separates words, as a pattern and as characters.
+ONE_SPACE = (" ", " ")
+WHITESPACE = (r"[ \t\n\x0B\f\r]+", " \t\n\x0b\f\r")
 
 
 def to_celsius(temperature: Column) -> Column:
@@ -37,13 +37,14 @@ def round_half_down(value: Column, places: int = 3) -> Column:
     return F.signum(value) * (steps.cast("double") / F.lit(float(scale)))
 
 
-def split_words(line: Column, separator: str = ONE_SPACE) -> Column:
+def split_words(line: Column, separator: tuple[str, str] = ONE_SPACE) -> Column:
     """Words of a line; leading and inner empty words stay, trailing ones go.
 
     An empty line is one empty word; a line of separators only has no words.
     """
-    trimmed = F.regexp_replace(line, f"(?:{separator})+$", "")
-    words = F.split(trimmed, separator)
+    pattern, characters = separator
+    trimmed = F.rtrim(line, F.lit(characters))
+    words = F.split(trimmed, pattern)
     only_separators = (trimmed == "") & (line != "")
     return F.when(only_separators, F.array().cast("array<string>")).otherwise(words)
 

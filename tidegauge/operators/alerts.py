@@ -121,8 +121,10 @@ def rise_warnings(
     )
     set_timers = single.unionByName(folded)
 
-    long_climbs = several.filter(F.col("rises") > max_walked).select("id", "climb", "first", "ends")
-    if not long_climbs.isEmpty():
+    # No climb is longer than its key, and keys are quick to count.
+    long_keys = readings.groupBy("id").count().filter(F.col("count") > max_walked)
+    if not long_keys.isEmpty():
+        long_climbs = several.filter(F.col("rises") > max_walked)
         set_timers = set_timers.unionByName(
             _long_climb_timers(rises, long_climbs, duration_ms, tuning)
         )

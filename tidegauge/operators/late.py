@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.timeops import SECOND, window_end
 
-# Most update rows one generated array may hold.
+# Most results of one window that are generated as one array.
 UPDATES_PER_BLOCK = 65_536
 
 
@@ -54,25 +54,27 @@ def updated_window_counts(
     )
 
     # Without a punctual row, the first late one makes the first result.
-    first_count = F.greatest(F.col("punctual"), F.lit(1).cast("bigint"))
-    firsts = counts.select("id", "end_ts", first_count.alias("cnt"), F.lit("first").alias("tag"))
-
-    more = counts.select(
+    results = counts.select(
         "id",
         "end_ts",
-        (first_count + 1).alias("low"),
-        (F.col("punctual") + F.col("late")).alias("high"),
-    ).filter(F.col("low") <= F.col("high"))
+        F.greatest(F.col("punctual"), F.lit(1).cast("bigint")).alias("first"),
+        (F.col("punctual") + F.col("late")).alias("last"),
+    )
     block = F.lit(UPDATES_PER_BLOCK)
-    blocks = more.select(
-        "id", "end_ts", "high", F.explode(F.sequence("low", "high", block)).alias("low")
+    size = F.col("last") - F.col("first")
+    few = results.filter(size < block).withColumn(
+        "cnt", F.explode(F.sequence("first", "last"))
     )
-    updates = blocks.select(
-        "id",
-        "end_ts",
-        F.explode(
-            F.sequence(F.col("low"), F.least(F.col("low") + block - 1, F.col("high")))
-        ).alias("cnt"),
-        F.lit("update").alias("tag"),
+    # A window with very many updates is dealt out in blocks.
+    many = (
+        results.filter(size >= block)
+        .withColumn("low", F.explode(F.sequence("first", "last", block)))
+        .repartition("id", "end_ts", "low")
+        .withColumn(
+            "cnt",
+            F.explode(F.sequence("low", F.least(F.col("low") + block - F.lit(1), F.col("last")))),
+        )
+        .drop("low")
     )
-    return firsts.unionByName(updates)
+    tag = F.when(F.col("cnt") == F.col("first"), "first").otherwise("update")
+    return few.unionByName(many).select("id", "end_ts", "cnt", tag.alias("tag"))

@@ -41,7 +41,7 @@ def celsius(readings: DataFrame) -> DataFrame:
     return readings.withColumn("temperature", to_celsius(F.col("temperature")))
 
 
-def words(lines: DataFrame, separator: str = ONE_SPACE) -> DataFrame:
+def words(lines: DataFrame, separator: tuple[str, str] = ONE_SPACE) -> DataFrame:
     """``(word, 1)`` for each word of column ``value``; other columns are kept."""
     others = [c for c in lines.columns if c != "value"]
     return lines.select(

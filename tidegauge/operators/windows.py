@@ -72,7 +72,7 @@ def avg_celsius(readings: DataFrame, size_ms: int = SECOND) -> DataFrame:
 
 
 def word_counts(
-    lines: DataFrame, separator: str, size_ms: int = 5 * SECOND, time: str = "arrival"
+    lines: DataFrame, separator: tuple[str, str], size_ms: int = 5 * SECOND, time: str = "arrival"
 ) -> DataFrame:
     """Words per window of arrival time.
 
