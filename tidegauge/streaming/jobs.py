@@ -32,14 +32,13 @@ READING_COLUMNS = ["seq", "id", "timestamp", "temperature"]
 
 
 def _stateful(
-    df: DataFrame, key: str, processor: StatefulProcessor, time_mode: str = "None",
-    mode: str = "Append",
+    df: DataFrame, key: str, processor: StatefulProcessor, time_mode: str = "None"
 ) -> DataFrame:
     df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return df.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=processor.schema,
-        outputMode=mode,
+        outputMode="Append",
         timeMode=time_mode,
     )
 
@@ -157,7 +156,7 @@ def window_max(
 
 def latest_values(results: DataFrame) -> DataFrame:
     """Keeps the newest result per key in state, where ``read_state`` finds it."""
-    return _stateful(results, "id", p.LatestValue(), mode="Update")
+    return _stateful(results, "id", p.LatestValue())
 
 
 def read_state(spark: SparkSession, checkpoint: str, variable: str = "value") -> DataFrame:

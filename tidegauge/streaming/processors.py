@@ -177,7 +177,8 @@ class RiseMonitor(_Value):
             timer = now + self.duration_ms
             self.handle.registerTimer(timer)
         self.value.update((float(values[-1]), timer))
-        yield self._warnings(key[0], warned)
+        if warned:
+            yield self._warnings(key[0], warned)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         due = expiredTimerInfo.getExpiryTimeInMs()
@@ -332,6 +333,10 @@ class EarlyCount(_Windows):
         super().__init__(size_ms, horizon_ms)
         self.tick_ms = tick_ms
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.evaluated = handle.getValueState("evaluated", "watermark long")
+
     def handleInputRows(self, key, rows, timerValues):
         now = _watermark(timerValues, self.horizon_ms)
         for end, arrived in self._arrivals(rows):
@@ -345,21 +350,18 @@ class EarlyCount(_Windows):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         now = _watermark(timerValues, self.horizon_ms)
-        results, evaluated = [], self.handle_once(now)
-        if evaluated:
+        results = []
+        if self._evaluates(now):
             for (end,), (count,) in list(self.windows.iterator()):
                 results.append((key[0], end, now - 1, count))
                 if now >= end:
                     self.windows.removeKey((end,))
                 else:
                     self._set_timers(now, end)
-        yield pd.DataFrame(results, columns=["id", "end_ts", "eval_time", "cnt"])
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.evaluated = handle.getValueState("evaluated", "watermark long")
+        if results:
+            yield pd.DataFrame(results, columns=["id", "end_ts", "eval_time", "cnt"])
 
-    def handle_once(self, now: int) -> bool:
+    def _evaluates(self, now: int) -> bool:
         """One evaluation per watermark, however many timers it makes due."""
         if self.evaluated.exists() and self.evaluated.get()[0] >= now:
             return False
