@@ -100,6 +100,11 @@ def _rolling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling.rolling_sum(src.triples_of_lineitem(lineitem), order)
 
 
+def _self_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = _marked(spark, sf_dir)
+    return alerts.self_cleaning_alerts(marked, 1.7, DAY, base=_readings(spark, sf_dir))
+
+
 def _fire_alerts(events: DataFrame) -> DataFrame:
     return control.fire_alerts(
         src.smoke_readings_of_events(events), src.smoke_levels_of_events(events)
@@ -229,7 +234,7 @@ def queries() -> dict[str, Query]:
         ),
         # keyed state, timers and control streams
         "temp_change_alerts": _on_readings(alerts.change_alerts),
-        "self_cleaning_alerts": _on_marked(lambda m: alerts.self_cleaning_alerts(m, 1.7, DAY)),
+        "self_cleaning_alerts": _self_cleaning,
         "rise_warnings": _on_readings(lambda r: alerts.rise_warnings(r, DAY)),
         "fire_alerts": _on_events(_fire_alerts),
         "switch_forward": _on_events(_switch_forward),

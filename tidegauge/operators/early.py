@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.timeops import NO_WATERMARK, SECOND, whole_div, window_end
 from tidegauge.operators.late import is_closed
+from tidegauge.plans.running import DEFAULT, Tuning, add_running, last_known
 from tidegauge.plans.watermarks import DEFAULT_BOUND, raised_by_bounded
 
 
@@ -15,6 +16,7 @@ def early_window_counts(
     bound_ms: int = DEFAULT_BOUND,
     size_ms: int = 30 * SECOND,
     tick_ms: int = SECOND,
+    tuning: Tuning = DEFAULT,
 ) -> DataFrame:
     """Counts so far at each tick, and the final count once the window closes.
 
@@ -71,22 +73,36 @@ def early_window_counts(
         .select("id", "end_ts", "eval_time", "cnt")
     )
 
-    final = reach.join(_closings(timed, size_ms), "end_ts").select(
+    final = reach.join(_closings(timed, reach, size_ms, tuning), "end_ts").select(
         "id", "end_ts", "eval_time", "cnt"
     )
     return early.unionByName(final)
 
 
-def _closings(timed: DataFrame, size_ms: int) -> DataFrame:
+def _closings(timed: DataFrame, reach: DataFrame, size_ms: int, tuning: Tuning) -> DataFrame:
     """For each window end, the watermark that first reached it.
 
-    Before the first watermark no window can be closed by it but those that
-    nothing has come into.
+    That is one of the few watermarks that moved past a window end at all: looked
+    up by going back over these and the ends, from the highest down.
     """
     passed = whole_div(F.col("wm") + F.lit(1), size_ms)
     reached = whole_div(F.col("wm_after") + F.lit(1), size_ms)
-    moves = timed.filter((F.col("wm") != F.lit(NO_WATERMARK)) & (reached > passed))
-    return moves.select(
-        F.explode(F.sequence(passed + 1, reached)).alias("multiple"),
-        F.col("wm_after").alias("eval_time"),
-    ).select((F.col("multiple") * F.lit(size_ms)).alias("end_ts"), "eval_time")
+    moves = timed.filter((F.col("wm") == F.lit(NO_WATERMARK)) | (reached > passed)).select(
+        (-reached).alias("back"), F.lit(0).alias("asks"), "wm_after"
+    )
+    ends = reach.select("end_ts").distinct()
+    asked = ends.select(
+        (-whole_div(F.col("end_ts"), size_ms)).alias("back"),
+        F.lit(1).alias("asks"),
+        F.lit(None).cast("bigint").alias("wm_after"),
+    )
+    answered = add_running(
+        moves.unionByName(asked),
+        [],
+        ["back", "asks"],
+        {"eval_time": last_known(F.col("wm_after"))},
+        tuning=tuning,
+    )
+    return answered.filter((F.col("asks") == 1) & F.col("eval_time").isNotNull()).select(
+        (-F.col("back") * F.lit(size_ms)).alias("end_ts"), "eval_time"
+    )

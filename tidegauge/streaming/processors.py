@@ -11,6 +11,7 @@ declared one. ``_watermark`` adds it back, and timers are set that much earlier.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -266,9 +267,11 @@ class _Windows(StatefulProcessor):
 
     def _arrivals(self, rows) -> Iterator[tuple[int, int]]:
         """Window ends of a batch, with the number of rows of each."""
-        times = pd.concat([chunk["timestamp"] for chunk in rows])
-        ends = times - times % self.size_ms + self.size_ms
-        return ((int(end), int(n)) for end, n in ends.value_counts(sort=False).items())
+        counts = Counter()
+        for chunk in rows:
+            times = chunk["timestamp"]
+            counts.update((times - times % self.size_ms + self.size_ms).value_counts().to_dict())
+        return ((int(end), int(n)) for end, n in counts.items())
 
     def close(self) -> None:
         pass
