@@ -59,12 +59,35 @@ def test_early_counts_in_steps(spark):
 
 def test_late_rows_are_tagged(spark):
     rows = stream(n=120, seed=23, jitter=6_000)
-    result = jobs.replay_in_steps(
-        frame(spark, rows), STEPS, lambda r: jobs.tag_late(r, 1_000, 60_000), "late", 60_000
-    )
     width = (len(rows) - 1) // STEPS + 1
     marked = machines.with_watermarks(rows, 1_000, step=width)
     expected = sorted((r[0], r[2] < wm) for r, wm in marked)
+    for_window = sorted((r[0], wm >= r[2] - r[2] % 3_000 + 2_999) for r, wm in marked)
+    for size, wanted in [(None, expected), (3_000, for_window)]:
+        result = jobs.replay_in_steps(
+            frame(spark, rows),
+            STEPS,
+            lambda r, size=size: jobs.tag_late(r, 1_000, 60_000, size),
+            "late",
+            60_000,
+        )
+        assert {late_ for _, late_ in wanted} == {True, False}
+        assert got(result, "seq", "is_late") == wanted
+
+
+def test_late_against_a_punctuated_watermark(spark):
+    rows = stream(n=120, seed=25, jitter=6_000)
+    result = jobs.replay_in_steps(
+        frame(spark, rows), STEPS, lambda r: jobs.tag_late_punctuated(r, "k3", 500), "marker", 1
+    )
+    width = (len(rows) - 1) // STEPS + 1
+    best = shown = machines.LOW
+    expected = []
+    for seq, key, t, _ in rows:
+        if seq % width == 0:
+            shown = best
+        expected.append((seq, t < shown))
+        best = max(best, t - 500) if key == "k3" else best
     assert {late_ for _, late_ in expected} == {True, False}
     assert got(result, "seq", "is_late") == expected
 

@@ -15,7 +15,7 @@ from tidegauge.plans.running import (
     previous,
     running_sum,
 )
-from tidegauge.session import ensure_checkpoint_dir
+from tidegauge.session import materialize
 
 # Rises of one unbroken climb that may be walked through as one array.
 MAX_RISES_WALKED = 100_000
@@ -90,6 +90,11 @@ def rise_warnings(
     """
     due = F.lit(duration_ms)
     marks = _climbs(readings, tuning)
+    # No climb is longer than its key, and keys are quick to count.
+    large_keys = readings.groupBy("id").count().filter(F.col("count") > max_walked)
+    may_be_long = not large_keys.isEmpty()
+    if may_be_long:
+        marks = materialize(marks, "climbs")
     clock = readings.agg(F.max("timestamp").alias("clock")).scalar()
     climbs = marks.groupBy("id", "climb").agg(
         F.min("rise").alias("first"),
@@ -121,10 +126,8 @@ def rise_warnings(
     )
     set_timers = single.unionByName(folded)
 
-    # No climb is longer than its key, and keys are quick to count.
-    long_keys = readings.groupBy("id").count().filter(F.col("count") > max_walked)
-    if not long_keys.isEmpty():
-        long_climbs = several.filter(F.col("rises") > max_walked)
+    long_climbs = several.filter(F.col("rises") > max_walked)
+    if may_be_long and not long_climbs.isEmpty():
         set_timers = set_timers.unionByName(
             _long_climb_timers(rises, long_climbs, duration_ms, tuning)
         )
@@ -170,9 +173,9 @@ def _long_climb_timers(
     first rise, a round marks one jump ahead of all marked rises and doubles the
     jump, so rounds are few even for very long climbs.
     """
-    ensure_checkpoint_dir(rises.sparkSession)
     climb = ["id", "climb"]
-    times = rises.join(climbs.select(*climb), climb).distinct()
+    climbs = materialize(climbs, "long-climbs")
+    times = materialize(rises.join(climbs.select(*climb), climb).distinct(), "long-rises")
 
     # The next rise at or after rise + duration, looked up by walking back in time.
     ahead = times.select(
@@ -189,7 +192,8 @@ def _long_climb_timers(
     ).filter(F.col("asks") == 1)
     steps = answered.join(climbs.select(*climb, "first"), climb).select(
         *climb, "rise", "jump", (F.col("rise") == F.col("first")).alias("sets")
-    ).checkpoint()
+    )
+    steps = materialize(steps, "steps")
 
     while not steps.filter(F.col("sets") & F.col("jump").isNotNull()).isEmpty():
         reached = (
@@ -198,13 +202,13 @@ def _long_climb_timers(
             .distinct()
         )
         farther = steps.select(*climb, F.col("rise").alias("jump"), F.col("jump").alias("farther"))
-        steps = (
+        doubled = (
             steps.join(reached, [*climb, "rise"], "left")
             .withColumn("sets", F.col("sets") | F.col("hit").isNotNull())
             .join(farther, [*climb, "jump"], "left")
             .select(*climb, "rise", F.col("farther").alias("jump"), "sets")
-            .checkpoint()
         )
+        steps = materialize(doubled, "steps")
     return (
         steps.filter("sets")
         .join(climbs.select(*climb, "ends"), climb)

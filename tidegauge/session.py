@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -54,7 +54,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point ``DataFrame.checkpoint`` at the shared folder if nothing has yet."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark, "lineage"))
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from there.
+
+    It is computed once however often it is used, and a lost executor costs a
+    re-read, not a re-run. The folder is the cluster's to clean up.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 import tidegauge
 from tidegauge.functions.scalar import reading_text
-from tidegauge.functions.timeops import HOUR, SECOND
+from tidegauge.functions.timeops import HOUR, MINUTE, SECOND
 from tidegauge.operators import windows
 from tidegauge.operators.transforms import upper_names
 from tidegauge.session import ROCKSDB, shared_folder
@@ -117,10 +117,35 @@ def fire_alerts(
 
 
 def tag_late(
-    readings: DataFrame, bound_ms: int = 5 * SECOND, horizon_ms: int = 24 * HOUR
+    readings: DataFrame,
+    bound_ms: int = 5 * SECOND,
+    horizon_ms: int = 24 * HOUR,
+    size_ms: int | None = None,
 ) -> DataFrame:
+    """Readings with ``is_late``; with ``size_ms``, late for their window.
+
+    Two filters of the result are the main and the late output. The counts that
+    go with the latter are ``updated_window_counts`` without lateness.
+    """
     rows = _watermarked(readings, bound_ms, horizon_ms)
-    return _stateful(rows, "id", p.LateTagger(horizon_ms), "EventTime")
+    return _stateful(rows, "id", p.LateTagger(horizon_ms, size_ms), "EventTime")
+
+
+def tag_late_punctuated(
+    readings: DataFrame,
+    marker_id: str = "sensor_1",
+    bound_ms: int = MINUTE,
+    horizon_ms: int = 24 * HOUR,
+) -> DataFrame:
+    """The same against a watermark that only rows of one key raise.
+
+    That watermark is on a column only those rows have, so Spark withholds no
+    others, however late.
+    """
+    marked = readings.select(
+        *READING_COLUMNS, F.when(F.col("id") == marker_id, F.col("event_time")).alias("raises")
+    ).withWatermark("raises", f"{bound_ms + horizon_ms} milliseconds")
+    return _stateful(marked, "id", p.LateTagger(horizon_ms, inclusive=True), "EventTime")
 
 
 def updated_window_counts(
@@ -187,6 +212,12 @@ def start(
     return writer.start(table)
 
 
+def show(results: DataFrame, label: str, every: str = "1 second") -> StreamingQuery:
+    """Print a live result; the label is the query's name."""
+    writer = results.writeStream.format("console").option("truncate", "false")
+    return writer.queryName(label).trigger(processingTime=every).start()
+
+
 def replay(job: DataFrame, name: str) -> DataFrame:
     """Run a live job over all that is there now; returns its output table."""
     spark = job.sparkSession

@@ -231,22 +231,32 @@ class FireAlert(_Value):
 
 
 class LateTagger(StatefulProcessor):
-    """Marks rows behind the watermark; keeps no state."""
+    """Marks rows behind the watermark; keeps no state.
+
+    With ``size_ms``, a row is late only if its window had closed.
+    """
 
     schema = "seq long, id string, timestamp long, temperature double, is_late boolean"
 
-    def __init__(self, horizon_ms: int):
+    def __init__(self, horizon_ms: int, size_ms: int | None = None, inclusive: bool = False):
         self.horizon_ms = horizon_ms
+        self.size_ms = size_ms
+        # a bounded watermark is one millisecond below what Spark declares
+        self.below_ms = 0 if inclusive else 1
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         pass
 
     def handleInputRows(self, key, rows, timerValues):
-        now = _watermark(timerValues, self.horizon_ms)
+        now = _watermark(timerValues, self.horizon_ms) - self.below_ms
         for chunk in rows:
             tagged = chunk[["seq", "id", "timestamp", "temperature"]]
-            # the declared watermark lacks the last millisecond
-            yield tagged.assign(is_late=tagged["timestamp"] < now - 1)
+            times = tagged["timestamp"]
+            if self.size_ms is None:
+                late = times < now
+            else:
+                late = times - times % self.size_ms + self.size_ms - 1 <= now
+            yield tagged.assign(is_late=late)
 
     def close(self) -> None:
         pass
