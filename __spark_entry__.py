@@ -46,7 +46,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/events.parquet")
+    return prepare(spark).read.schema(src.EVENT).parquet(f"{sf_dir}/events.parquet")
 
 
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +184,7 @@ def queries() -> dict[str, Query]:
         "filter_ge": _on_readings(lambda r: transforms.filter_by_threshold(r, inclusive=True)),
         "project_id": _on_readings(transforms.project_id),
         "split_id": _on_readings(lambda r: transforms.split_id(transforms.project_id(r))),
-        "basic_pipeline": _on_readings(transforms.basic_pipeline),
+        "filter_project_split": _on_readings(transforms.filter_project_split),
         "split_words_java": _on_lines(lambda t: transforms.words(t.select("value"), ONE_SPACE)),
         "split_words_ws": _on_lines(lambda t: transforms.words(t.select("value"), WHITESPACE)),
         "to_celsius": _on_readings(transforms.celsius),
@@ -476,7 +476,7 @@ def _batch_sql() -> dict[str, str]:
         "project_id": from_readings + "SELECT id FROM readings",
         "split_id": from_readings
         + "SELECT unnest(string_split(id, '_')) AS part FROM readings",
-        "basic_pipeline": from_readings
+        "filter_project_split": from_readings
         + "SELECT unnest(string_split(id, '_')) AS part FROM readings WHERE temperature > 25",
         "split_words_java": _sql_split_words(" "),
         "split_words_ws": _sql_split_words(_JVM_SPACE),

@@ -44,7 +44,7 @@ def test_filter_and_split(spark):
     inclusive = transforms.filter_by_threshold(given, inclusive=True)
     assert [r[0] for r in rows(transforms.project_id(strict))] == ["c_3"]
     assert [r[0] for r in rows(inclusive.select("temperature"))] == [25.0, 25.1]
-    parts = rows(transforms.basic_pipeline(given, inclusive=True))
+    parts = rows(transforms.filter_project_split(given, inclusive=True))
     assert parts == [("sensor",), ("12",), ("c",), ("3",)]
 
 

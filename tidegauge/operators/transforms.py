@@ -30,7 +30,7 @@ def split_id(ids: DataFrame) -> DataFrame:
     return ids.select(F.explode(F.split("id", "_")).alias("part"))
 
 
-def basic_pipeline(
+def filter_project_split(
     readings: DataFrame, threshold: float = 25, inclusive: bool = False
 ) -> DataFrame:
     """Filter, project and split in one plan."""

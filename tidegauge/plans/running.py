@@ -143,33 +143,28 @@ def add_running(
 ) -> DataFrame:
     """``df`` with one running column per scan, in ``order`` within ``keys``.
 
-    ``order[0]`` is a whole number; further columns break ties. Without keys it
-    must be dense (a sequence number), as slices are runs of that number. With
-    keys, ``base`` may name a cheaper relation with the same keys and order
+    ``order[0]`` is a whole number; further columns break ties. Without keys few
+    rows may share it (as with a sequence number), for slices are runs of that
+    number. With keys, ``base`` may name a cheaper relation with the same keys and order
     (such as the bare table scan) to find hot keys in. With ``keep_slices`` the
     result may go into a further call on the same keys, which then needs no new
     shuffle of the rows.
     """
     keys = list(keys)
     order = [order] if isinstance(order, str) else list(order)
-    staged = df.select("*", *[s.value.alias(f"_v_{n}") for n, s in scans.items()])
-
     if SLICE in df.columns:
-        sliced, shared = staged, staged.filter(F.col(SLICE).isNotNull())
+        sliced, shared = df, df.filter(F.col(SLICE).isNotNull())
     elif keys:
         hot = F.broadcast(hot_keys(df if base is None else base, keys, order[0], tuning))
         slice_no = F.call_function("div", F.col(order[0]), F.col(_WIDTH))
-        sliced = staged.join(hot, keys, "left").withColumn(SLICE, slice_no)
-        shared = staged.join(hot, keys).withColumn(SLICE, slice_no)
+        sliced = df.join(hot, keys, "left").withColumn(SLICE, slice_no)
+        shared = df.join(hot, keys).withColumn(SLICE, slice_no)
     else:
-        sliced = staged.withColumn(SLICE, whole_div(F.col(order[0]), tuning.rows_per_slice))
+        sliced = df.withColumn(SLICE, whole_div(F.col(order[0]), tuning.rows_per_slice))
         shared = sliced
 
     folded = shared.groupBy(*keys, SLICE).agg(
-        *[
-            s.fold(F.col(f"_v_{n}"), _order_value(order)).alias(f"_b_{n}")
-            for n, s in scans.items()
-        ]
+        *[s.fold(s.value, _order_value(order)).alias(f"_b_{n}") for n, s in scans.items()]
     )
     before = carried_in(folded, keys, {f"_b_{n}": s for n, s in scans.items()}, tuning)
 
@@ -180,7 +175,7 @@ def add_running(
         "*",
         (F.row_number().over(rows) == 1).alias("_first"),
         *[
-            s.over(F.col(f"_v_{n}"), to_here if s.with_current else to_previous).alias(f"_h_{n}")
+            s.over(s.value, to_here if s.with_current else to_previous).alias(f"_h_{n}")
             for n, s in scans.items()
         ],
     )

@@ -198,18 +198,28 @@ def start(
     checkpoint: str,
     name: str | None = None,
     every: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Write a live result to a folder of Parquet files.
 
     With ``every`` (such as "10 seconds") it keeps running and takes a checkpoint
-    each time; without, it takes what is there and stops.
+    each time; without, it takes what is there and stops. ``partitions`` is over
+    how many tasks state is spread. It is fixed by the first start, and adaptive
+    execution does not change it; by default it is the session's shuffle setting.
     """
     writer = results.writeStream.format("parquet").outputMode("append")
     if name:
         writer = writer.queryName(name)
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start(table)
+    conf = results.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(partitions or before))
+    try:
+        # a query keeps the settings it was started with
+        return writer.start(table)
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
 
 def show(results: DataFrame, label: str, every: str = "1 second") -> StreamingQuery:
@@ -222,7 +232,8 @@ def replay(job: DataFrame, name: str) -> DataFrame:
     """Run a live job over all that is there now; returns its output table."""
     spark = job.sparkSession
     folder = shared_folder(spark, name)
-    start(job, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    start(job, f"{folder}/out", f"{folder}/checkpoint", partitions=cores).awaitTermination()
     return spark.read.schema(job.schema).parquet(f"{folder}/out")
 
 
@@ -257,7 +268,8 @@ def replay_in_steps(
         part.write.mode("append").parquet(source)
         live = spark.readStream.schema(rows.schema).parquet(source)
         result = job(live.withColumn("event_time", F.timestamp_millis("timestamp")))
-        start(result, out, checkpoint).awaitTermination()
+        cores = spark.sparkContext.defaultParallelism
+        start(result, out, checkpoint, partitions=cores).awaitTermination()
     return spark.read.schema(result.schema).parquet(out).filter(F.col("id") != FLUSH_KEY)
 
 
