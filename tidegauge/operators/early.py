@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.timeops import NO_WATERMARK, SECOND, whole_div, window_end
 from tidegauge.operators.late import is_closed
-from tidegauge.plans.running import DEFAULT, Tuning, add_running, last_known
 from tidegauge.plans.watermarks import DEFAULT_BOUND, raised_by_bounded
 
 
@@ -16,7 +15,6 @@ def early_window_counts(
     bound_ms: int = DEFAULT_BOUND,
     size_ms: int = 30 * SECOND,
     tick_ms: int = SECOND,
-    tuning: Tuning = DEFAULT,
 ) -> DataFrame:
     """Counts so far at each tick, and the final count once the window closes.
 
@@ -31,11 +29,10 @@ def early_window_counts(
     """
     after = F.greatest(F.col("wm"), raised_by_bounded(bound_ms))
     timed = marked.withColumn("wm_after", after)
-    started = F.col("wm") != F.lit(NO_WATERMARK)
 
-    tick_before = whole_div(F.col("wm"), tick_ms)
+    tick_before = whole_div(_known_watermark(), tick_ms)
     tick_after = whole_div(F.col("wm_after"), tick_ms)
-    ticks_now = (~started) | (tick_after > tick_before)
+    ticks_now = tick_before.isNull() | (tick_after > tick_before)
     ticks = (
         timed.filter(ticks_now)
         .groupBy(tick_after.alias("tick"))
@@ -73,36 +70,31 @@ def early_window_counts(
         .select("id", "end_ts", "eval_time", "cnt")
     )
 
-    final = reach.join(_closings(timed, reach, size_ms, tuning), "end_ts").select(
+    final = reach.join(_closings(timed, bound_ms, size_ms), "end_ts").select(
         "id", "end_ts", "eval_time", "cnt"
     )
     return early.unionByName(final)
 
 
-def _closings(timed: DataFrame, reach: DataFrame, size_ms: int, tuning: Tuning) -> DataFrame:
+def _closings(timed: DataFrame, bound_ms: int, size_ms: int) -> DataFrame:
     """For each window end, the watermark that first reached it.
 
-    That is one of the few watermarks that moved past a window end at all: looked
-    up by going back over these and the ends, from the highest down.
+    A row closes the ends its watermark passes. Rows before it were no more than
+    the bound ahead of the watermark, so an end past the window of such a row has
+    nothing in it and is left out, however far the watermark jumps.
     """
-    passed = whole_div(F.col("wm") + F.lit(1), size_ms)
+    passed = whole_div(_known_watermark() + F.lit(1), size_ms)
     reached = whole_div(F.col("wm_after") + F.lit(1), size_ms)
-    moves = timed.filter((F.col("wm") == F.lit(NO_WATERMARK)) | (reached > passed)).select(
-        (-reached).alias("back"), F.lit(0).alias("asks"), "wm_after"
-    )
-    ends = reach.select("end_ts").distinct()
-    asked = ends.select(
-        (-whole_div(F.col("end_ts"), size_ms)).alias("back"),
-        F.lit(1).alias("asks"),
-        F.lit(None).cast("bigint").alias("wm_after"),
-    )
-    answered = add_running(
-        moves.unionByName(asked),
-        [],
-        ["back", "asks"],
-        {"eval_time": last_known(F.col("wm_after"))},
-        tuning=tuning,
-    )
-    return answered.filter((F.col("asks") == 1) & F.col("eval_time").isNotNull()).select(
-        (-F.col("back") * F.lit(size_ms)).alias("end_ts"), "eval_time"
+    filled = whole_div(_known_watermark() + F.lit(bound_ms + 1), size_ms) + 1
+    # before the first watermark there is no window with rows to close
+    moves = timed.filter(reached > passed)
+    closed = F.sequence(passed + 1, F.least(reached, filled))
+    multiples = moves.select(
+        F.explode(closed).alias("multiple"), F.col("wm_after").alias("eval_time")
     )
+    return multiples.select((F.col("multiple") * F.lit(size_ms)).alias("end_ts"), "eval_time")
+
+
+def _known_watermark() -> Column:
+    """The watermark before the row, null if there is none yet."""
+    return F.nullif(F.col("wm"), F.lit(NO_WATERMARK))
