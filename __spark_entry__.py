@@ -36,6 +36,14 @@ from tidegauge.sources import kafka
 from tidegauge.sources import readings as src
 from tidegauge.streaming import jobs
 
+try:
+    import corpus_pipeline
+    from tidegauge.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tidegauge.llm"):
+        raise
+    corpus_pipeline = corpus = None
+
 DAY = 24 * HOUR
 BOUND = 5 * HOUR
 LATENESS = 5 * HOUR
@@ -175,6 +183,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    found = _own_queries()
+    if corpus:
+        found |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def _own_queries() -> dict[str, Query]:
     return {
         # sources
         "readings": _on_readings(lambda r: r),
@@ -454,6 +469,8 @@ def oracle_sql() -> dict[str, str]:
         WHERE end_ts <= (SELECT max(epoch_us(ts) // 1000) - {BOUND} FROM events)"""
     sql["stream_late_update_counts"] = _sql_late_updates(_STEPPED)
     sql["stream_self_cleaning_alerts"] = _sql_self_cleaning(_STEPPED)
+    if corpus:
+        sql |= corpus.ORACLE_SQL
     return sql
 
 
