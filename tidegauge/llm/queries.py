@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import chat, decontaminate, mix, site_lines
+from tidegauge.llm import chat, decontaminate, fingerprints, language, mix, site_lines, tokens
 from tidegauge.session import prepare
 
 
@@ -23,6 +23,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.fingerprints_of_edits(table(spark, sf_dir, "documents"))
+    return rows.withColumn("edited", F.sha2("edited", 256)).withColumnRenamed(
+        "edited", "edited_sha256"
+    )
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation rows are one layout, the added conversation -1 is another."""
     rows = table(spark, sf_dir, "conversations")
@@ -42,6 +49,18 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mixture(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.filter(~language.held_out()).select("text", "lang"))
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by their source; texts as digests."""
     kept = site_lines.without_boilerplate(table(spark, sf_dir, "documents"))
@@ -52,8 +71,11 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_fingerprint": op3_fingerprint,
     "op4_chat_format": op4_chat_format,
     "op5_mix": op5_mix,
+    "op6_language": op6_language,
+    "op8_token_counts": op8_token_counts,
     "op10_site_lines": op10_site_lines,
 }
 
