@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import chat, decontaminate, fingerprints, language, mix, site_lines, tokens
+from tidegauge.llm import chat, decontaminate, fingerprints, jaccard, language, mix, site_lines, tokens
 from tidegauge.session import prepare
 
 
@@ -57,6 +57,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
@@ -75,6 +80,7 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op5_mix": op5_mix,
     "op6_language": op6_language,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_token_counts": op8_token_counts,
     "op10_site_lines": op10_site_lines,
 }
