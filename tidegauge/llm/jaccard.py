@@ -333,7 +333,12 @@ def near_duplicates(
         .join(sets.select("set_key", "row_key"), "set_key"),
         "chosen",
     )
-    texts = held.select("row_key", "text").join(chosen, "row_key").dropDuplicates(["set_key"])
+    # the members grow with the rows, so they are never broadcast, at small sizes either
+    texts = (
+        held.select("row_key", "text")
+        .join(chosen.hint("merge"), "row_key")
+        .dropDuplicates(["set_key"])
+    )
     verified = materialize(_verified(texts, threshold), "verified")
     classes = components(verified.select(F.col("set_key").alias("u"), F.col("root").alias("v")))
     links = verified.groupBy("set_key").agg(F.sum("n_links").alias("n_links"))
