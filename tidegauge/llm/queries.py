@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import chat, decontaminate, fingerprints, jaccard, language, mix, site_lines, tokens
+from tidegauge.llm import chat, decontaminate, fingerprints, jaccard, language, mix, repeats, site_lines, tokens
 from tidegauge.session import prepare
 
 
@@ -23,6 +23,18 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    n_kept = F.octet_length("kept").cast("bigint")
+    return rows.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - n_kept).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprints.fingerprints_of_edits(table(spark, sf_dir, "documents"))
     return rows.withColumn("edited", F.sha2("edited", 256)).withColumnRenamed(
@@ -76,6 +88,7 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_repeats": op2_repeats,
     "op3_fingerprint": op3_fingerprint,
     "op4_chat_format": op4_chat_format,
     "op5_mix": op5_mix,
