@@ -23,7 +23,7 @@ _UPPER = (_BYTES >= 65) & (_BYTES <= 90)
 LOWER = np.where(_UPPER, _BYTES + 32, _BYTES).astype(np.uint8)
 # the complement of \x00-\x2F \x3A-\x60 \x7B-\x7F once A-Z are lower case
 WORD = ((_BYTES >= 0x30) & (_BYTES <= 0x39)) | ((_BYTES >= 0x61) & (_BYTES <= 0x7A)) | (_BYTES >= 0x80)
-WORD_OR_UPPER = WORD | _UPPER
+NOT_SPACE = ~((_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D)))
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -155,13 +155,16 @@ class Words:
         return np.bincount(self.row - self.first, minlength=self.last - self.first)
 
 
-def words(column: pa.Array) -> Iterator[Words]:
-    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of whole texts, A-Z lower-cased."""
+def words(column: pa.Array, kind: np.ndarray = WORD) -> Iterator[Words]:
+    """Words of whole texts, A-Z lower-cased: runs of the bytes that ``kind`` marks.
+
+    The default is ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``.
+    """
     whole, offsets = utf8(column)
     for first, last in pieces(offsets):
         at = offsets[first : last + 1] - offsets[first]
         data = LOWER[whole[offsets[first] : offsets[last]]]
-        inside = WORD[data]
+        inside = kind[data]
         full = at[1:] > at[:-1]
         begins, ends = inside.copy(), inside.copy()
         begins[1:] &= ~inside[:-1]

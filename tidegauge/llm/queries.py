@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import chat, decontaminate, fingerprints, jaccard, language, mix, repeats, site_lines, tokens
+from tidegauge.llm import chat, decontaminate, fingerprints, jaccard, language, mix, repeats, scoring, site_lines, tokens
 from tidegauge.session import prepare
 
 
@@ -78,6 +78,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scores(table(spark, sf_dir, "documents"))
+
+
 def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by their source; texts as digests."""
     kept = site_lines.without_boilerplate(table(spark, sf_dir, "documents"))
@@ -95,6 +99,7 @@ QUERIES = {
     "op6_language": op6_language,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_token_counts": op8_token_counts,
+    "op9_lm_scores": op9_lm_scores,
     "op10_site_lines": op10_site_lines,
 }
 
