@@ -7,18 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, mix, site_lines
+from tidegauge.llm import decontaminate, jaccard, language, mix, site_lines
 from tidegauge.session import prepare, shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language: not ``und``, and scored above chance."""
+    model = language.train(docs.filter(~language.held_out()).select("text", "lang"))
+    known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= language.MIN_SCORE)
+    held = docs.select(F.struct(*docs.columns).alias("doc"), "text")
+    return language.predict(held, model).filter(known).select("doc.*")
+
+
 def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that are boilerplate of their source; all rows stay."""
     kept = site_lines.without_boilerplate(docs).select(*docs.columns)
     return kept.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return jaccard.one_of_each_class(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the contamination rule doesn't mark."""
     benchmark = prepare(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -31,7 +44,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", keep_languages),
     ("line_dedup", drop_site_lines),
+    ("ngram_join", drop_near_duplicates),
     ("decontamination", drop_contaminated),
     ("mixing", mix_sources),
 ]
