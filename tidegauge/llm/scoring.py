@@ -34,7 +34,8 @@ from tidegauge.llm.batches import (
 from tidegauge.llm.jaccard import row_key
 from tidegauge.session import materialize
 
-BLOCK_BYTES = 256 << 20
+BLOCK_BYTES = 128 << 20
+PIECE = 1 << 19  # bytes of text whose grams are looked at together
 GRAMS_AT_ONCE = 1 << 19
 MERGE_AT = 1 << 22
 GRAM, WORD, TEXT = 0, 1, 2
@@ -343,7 +344,7 @@ def scores(documents: DataFrame, id_col: str = "doc_id", block_bytes: int = BLOC
         tokens, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
         column = batch.column("text")
         whole, offsets = utf8(column)
-        for a, b in pieces(offsets):
+        for a, b in pieces(offsets, PIECE):
             at = offsets[a : b + 1]
             found, text = grams_of(whole[at[0] : at[-1]], at - at[0])
             score[a:b] = np.bincount(text, grams.find(found), b - a)
