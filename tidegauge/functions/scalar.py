@@ -15,6 +15,9 @@ RISE_TEXT = ("Temperature of sensor '", "' monotonically increased for 1 second.
 ONE_SPACE = (" ", " ")
 WHITESPACE = (r"[ \t\n\x0B\f\r]+", " \t\n\x0b\f\r")
 
+# doubles from here on are spaced too widely to have three decimal places
+EXACT_BELOW = 1e14
+
 
 def to_celsius(temperature: Column) -> Column:
     return (temperature - F.lit(32.0)) * F.lit(5.0 / 9.0)
@@ -22,11 +25,16 @@ def to_celsius(temperature: Column) -> Column:
 
 def as_decimal(value: Column) -> Column:
     """The decimal a double prints as, so that ties are ties on paper."""
-    return value.cast("string").cast("decimal(30,15)")
+    return F.when(F.abs(value) < EXACT_BELOW, value).cast("string").cast("decimal(30,15)")
+
+
+def _or_itself(rounded: Column, value: Column) -> Column:
+    """Values that have no three decimal places (huge ones, NaN) are their own rounding."""
+    return F.when(F.abs(value) < EXACT_BELOW, rounded).otherwise(value)
 
 
 def round_half_up(value: Column, places: int = 3) -> Column:
-    return F.round(as_decimal(value), places).cast("double")
+    return _or_itself(F.round(as_decimal(value), places).cast("double"), value)
 
 
 def round_half_down(value: Column, places: int = 3) -> Column:
@@ -34,7 +42,12 @@ def round_half_down(value: Column, places: int = 3) -> Column:
     exact = as_decimal(value)
     steps = F.ceil(F.abs(exact) * F.lit(scale) - F.lit(0.5).cast("decimal(2,1)"))
     # the division of two whole numbers is the nearest double to the decimal
-    return F.signum(value) * (steps.cast("double") / F.lit(float(scale)))
+    return _or_itself(F.signum(value) * (steps.cast("double") / F.lit(float(scale))), value)
+
+
+def exceeds(value: Column, threshold: float, inclusive: bool = False) -> Column:
+    """A plain comparison: NaN is not above anything."""
+    return (value >= threshold if inclusive else value > threshold) & ~F.isnan(value)
 
 
 def split_words(line: Column, separator: tuple[str, str] = ONE_SPACE) -> Column:

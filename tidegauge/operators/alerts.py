@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.scalar import RISE_TEXT
+from tidegauge.functions.scalar import RISE_TEXT, exceeds
 from tidegauge.functions.timeops import HOUR, SECOND
 from tidegauge.plans.running import (
     DEFAULT,
@@ -66,7 +66,7 @@ def self_cleaning_alerts(
 def _alert(known: DataFrame, before, threshold: float) -> DataFrame:
     diff = F.abs(F.col("temperature") - before)
     return known.select("id", "temperature", diff.alias("diff")).filter(
-        F.col("diff") > threshold
+        exceeds(F.col("diff"), threshold)
     )
 
 

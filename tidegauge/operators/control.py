@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.scalar import FIRE_TEXT, reading_text
+from tidegauge.functions.scalar import FIRE_TEXT, reading_text, exceeds
 from tidegauge.plans.running import DEFAULT, Tuning, add_running, last_known, running_max
 
 
@@ -25,7 +25,7 @@ def fire_alerts(
     The level is shared by all keys and LOW until the first control row. Only
     readings hot enough to matter are put in order.
     """
-    hot = readings.filter(F.col("temperature") > above).select(
+    hot = readings.filter(exceeds(F.col("temperature"), above)).select(
         "seq", "id", "timestamp", "temperature", F.lit(None).cast("string").alias("level")
     )
     levels = smoke_levels.select(

@@ -9,6 +9,7 @@ from tidegauge.functions.scalar import (
     FREEZING_TEXT,
     LATE_TEXT,
     ONE_SPACE,
+    exceeds,
     split_words,
     to_celsius,
 )
@@ -17,8 +18,7 @@ from tidegauge.functions.scalar import (
 def filter_by_threshold(
     readings: DataFrame, threshold: float = 25, inclusive: bool = False
 ) -> DataFrame:
-    value = F.col("temperature")
-    return readings.filter(value >= threshold if inclusive else value > threshold)
+    return readings.filter(exceeds(F.col("temperature"), threshold, inclusive))
 
 
 def project_id(readings: DataFrame) -> DataFrame:

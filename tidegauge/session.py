@@ -42,12 +42,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the cluster's ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (a single machine, as in tests) does it
-    fall back to a new temporary folder, and records it for the session.
+    Where that setting is absent on a single machine, as in tests, a new temporary
+    folder is made and recorded for the session. On a cluster its absence is an
+    error: executors would each write to a disk of their own.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
+    if not root and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tidegauge-")
         spark.conf.set("spark.checkpoint.dir", root)
