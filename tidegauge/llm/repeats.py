@@ -45,8 +45,8 @@ from tidegauge.session import materialize
 
 MIN_BYTES = 400
 GRAM = 32
-UNIT_BLOCKS = 2048
-CHUNK = 4 << 20
+CHUNK = 4 << 20  # bytes ranked at once
+UNIT_BLOCKS = CHUNK // (MIN_BYTES + (MIN_BYTES - GRAM) // 2)  # a unit fills a chunk
 
 _LOW = np.uint64(0xFFFFFFFF)
 
