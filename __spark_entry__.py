@@ -17,9 +17,8 @@ from tidegauge.functions.scalar import (
     WHITESPACE,
     round_half_down,
     round_half_up,
-    to_celsius,
 )
-from tidegauge.functions.timeops import HOUR, tumbling, with_event_time
+from tidegauge.functions.timeops import HOUR, tumbling
 from tidegauge.operators import (
     alerts,
     control,
@@ -47,7 +46,11 @@ except ModuleNotFoundError as missing:
 DAY = 24 * HOUR
 BOUND = 5 * HOUR
 LATENESS = 5 * HOUR
-STEPS = 3
+# A step is a micro-batch of a live replay; the SQL cuts the rows in the same steps.
+STEPS = 7
+FEW_STEPS = 3
+# Values that occur, so that a limit that counts and one that doesn't differ.
+LIMIT = 6.55
 SHOWN = [f"sensor_{i}" for i in range(1, 6)]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,22 +161,35 @@ def _live(name: str, job: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _stream_tumbling_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    live = with_event_time(src.readings_of_events(src.stream_events(prepare(spark), sf_dir)))
-    return jobs.replay(jobs.window_max(live, 10 * HOUR, BOUND), "tumbling_max")
+    """All at once, for in order no row is late; the last reading closes all windows."""
+    return jobs.replay_in_steps(
+        _readings(spark, sf_dir),
+        1,
+        lambda r: jobs.window_max(r, 10 * HOUR, BOUND),
+        "tumbling_max",
+        10 * DAY,
+    )
+
+
+def _stream_rolling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = prepare(spark).read.parquet(f"{sf_dir}/lineitem.parquet").schema
+    triples = src.triples_of_lineitem(src.stream_table(spark, sf_dir, "lineitem", schema))
+    return jobs.replay(jobs.rolling_sum(triples, ["seq", "supplier", "f1"]), "rolling_sum")
 
 
-def _in_steps(name: str, job: jobs.Job) -> Query:
+def _in_steps(name: str, job: jobs.Job, steps: int = STEPS) -> Query:
     """Run a live job over the disordered readings, in a few arrival steps."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return jobs.replay_in_steps(_disordered(spark, sf_dir), STEPS, job, name, 10 * DAY)
+        return jobs.replay_in_steps(_disordered(spark, sf_dir), steps, job, name, 10 * DAY)
 
     return run
 
 
 def _display(rounding: Callable) -> Callable[[DataFrame], DataFrame]:
+    """To one place, where readings of two places have ties."""
     return lambda readings: readings.select(
-        "seq", rounding(to_celsius(F.col("temperature"))).alias("temperature")
+        "seq", rounding(F.col("temperature"), 1).alias("temperature")
     )
 
 
@@ -195,8 +211,8 @@ def _own_queries() -> dict[str, Query]:
         "readings": _on_readings(lambda r: r),
         "smoke_levels": _on_events(src.smoke_levels_of_events),
         # transformations
-        "filter_gt": _on_readings(transforms.filter_by_threshold),
-        "filter_ge": _on_readings(lambda r: transforms.filter_by_threshold(r, inclusive=True)),
+        "filter_gt": _on_readings(lambda r: transforms.filter_by_threshold(r, LIMIT)),
+        "filter_ge": _on_readings(lambda r: transforms.filter_by_threshold(r, LIMIT, True)),
         "project_id": _on_readings(transforms.project_id),
         "split_id": _on_readings(lambda r: transforms.split_id(transforms.project_id(r))),
         "filter_project_split": _on_readings(transforms.filter_project_split),
@@ -282,12 +298,17 @@ def _own_queries() -> dict[str, Query]:
         ),
         "stream_late_update_counts": _in_steps(
             "late_updates",
-            lambda r: jobs.updated_window_counts(r, 10 * HOUR, LATENESS, BOUND),
+            lambda r: jobs.updated_window_counts(r, 10 * HOUR, LATENESS, 0),
         ),
         "stream_self_cleaning_alerts": _in_steps(
-            "self_cleaning",
-            lambda r: jobs.self_cleaning_alerts(r, 1.7, DAY, BOUND, horizon_ms=2 * DAY),
+            "self_cleaning", lambda r: jobs.self_cleaning_alerts(r, 1.7, HOUR, 0)
         ),
+        "stream_late_flag": _in_steps(
+            "late_flag",
+            lambda r: jobs.tag_late(r, 0).select("seq", "id", "timestamp", "is_late"),
+            FEW_STEPS,
+        ),
+        "stream_rolling_sum": _stream_rolling_sum,
         # Kafka record format
         "kafka_encode_counts": _on_events(_kafka_encode),
         "kafka_decode_counts": _on_events(_kafka_decode),
@@ -349,8 +370,9 @@ _NAMES = """names AS (
 def _sql_words(separator: str) -> str:
     return f"""
 lines AS (
-  SELECT unnest(string_split(text, chr(10))) AS value, doc_id * 100 AS arrival
-  FROM documents),
+  SELECT coalesce(source, '') || '  ' || line || chr(9) || coalesce(lang, '') AS value, arrival
+  FROM (SELECT unnest(string_split(text, chr(10))) AS line, doc_id * 100 AS arrival, source, lang
+        FROM documents)),
 words AS (
   SELECT arrival, unnest(string_split_regex(
            regexp_replace(value, '(?:{separator})+$', ''), '{separator}')) AS word
@@ -370,8 +392,7 @@ def _sql_split_words(separator: str) -> str:
 
 def _sql_rounded(rounded: str) -> str:
     return f"""WITH {_READINGS}, shown AS (
-  SELECT seq, {_CELSIUS} AS t,
-         {_CELSIUS}::VARCHAR::DECIMAL(30, 15) AS d FROM readings)
+  SELECT seq, temperature AS t, temperature::VARCHAR::DECIMAL(30, 15) AS d FROM readings)
 SELECT seq, ({rounded})::DOUBLE AS temperature FROM shown"""
 
 
@@ -394,15 +415,17 @@ SELECT p.id, p.end_ts, p.ev AS eval_time, count(*) AS cnt
 FROM points p JOIN accepted a ON a.id = p.id AND a.end_ts = p.end_ts AND a.seq <= p.j
 GROUP BY p.id, p.end_ts, p.j, p.ev"""
 
-# Between steps only: the watermark is what the steps before have raised it to.
-_STEPPED = _DISORDERED + f""",
+def _sql_stepped(steps: int) -> str:
+    """Between steps only: the watermark, without a bound, is what earlier steps raised it to."""
+    return _DISORDERED + f""",
 marked AS (
   SELECT seq, id, "timestamp", temperature,
-         coalesce(max("timestamp" - {BOUND} - 1) OVER (ORDER BY step
+         coalesce(max("timestamp" - 1) OVER (ORDER BY step
            RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -9223372036854775807) AS wm
-  FROM (SELECT *, seq // ((SELECT max(seq) FROM disordered) // {STEPS} + 1) AS step
+  FROM (SELECT *, seq // ((SELECT max(seq) FROM disordered) // {steps} + 1) AS step
         FROM disordered))"""
 
+
 _LATE_UPDATES = """WITH {marked},
 accepted AS (
   SELECT id, end_ts, seq, (wm >= end_ts - 1)::INT AS late
@@ -422,12 +445,12 @@ def _sql_late_updates(marked: str) -> str:
     return _LATE_UPDATES.format(marked=marked, end=_sql_end(10 * HOUR), lateness=LATENESS)
 
 
-def _sql_self_cleaning(marked: str) -> str:
+def _sql_self_cleaning(marked: str, ttl_ms: int = DAY) -> str:
     return f"""WITH {marked}
 SELECT id, temperature, abs(temperature - p) AS diff FROM (
   SELECT *, lag(temperature) OVER k AS p, lag("timestamp") OVER k AS seen
   FROM marked WINDOW k AS (PARTITION BY id ORDER BY seq))
-WHERE wm < seen + {DAY} AND abs(temperature - p) > 1.7::DOUBLE"""
+WHERE wm < seen + {ttl_ms} AND abs(temperature - p) > 1.7::DOUBLE"""
 
 
 _RISES = f"""WITH RECURSIVE {_READINGS},
@@ -464,11 +487,12 @@ def oracle_sql() -> dict[str, str]:
         "fire_alerts",
     ):
         sql[f"stream_{name}"] = sql[name]
-    # only windows the last watermark has reached have been emitted
-    sql["stream_tumbling_max"] = f"""SELECT * FROM ({sql["tumbling_max"]})
-        WHERE end_ts <= (SELECT max(epoch_us(ts) // 1000) - {BOUND} FROM events)"""
-    sql["stream_late_update_counts"] = _sql_late_updates(_STEPPED)
-    sql["stream_self_cleaning_alerts"] = _sql_self_cleaning(_STEPPED)
+    sql["stream_tumbling_max"] = sql["tumbling_max"]
+    sql["stream_rolling_sum"] = sql["rolling_sum"]
+    sql["stream_late_update_counts"] = _sql_late_updates(_sql_stepped(STEPS))
+    sql["stream_self_cleaning_alerts"] = _sql_self_cleaning(_sql_stepped(STEPS), HOUR)
+    sql["stream_late_flag"] = f"""WITH {_sql_stepped(FEW_STEPS)}
+SELECT seq, id, "timestamp", "timestamp" < wm AS is_late FROM marked"""
     if corpus:
         sql |= corpus.ORACLE_SQL
     return sql
@@ -488,8 +512,8 @@ def _batch_sql() -> dict[str, str]:
         "smoke_levels": """SELECT event_id AS seq, epoch_us(ts) // 1000 AS "timestamp",
             CASE WHEN event_type = 'error' THEN 'HIGH' ELSE 'LOW' END AS level
             FROM events WHERE event_type IN ('error', 'signup')""",
-        "filter_gt": from_readings + "SELECT * FROM readings WHERE temperature > 25",
-        "filter_ge": from_readings + "SELECT * FROM readings WHERE temperature >= 25",
+        "filter_gt": from_readings + "SELECT * FROM readings WHERE temperature > 6.55::DOUBLE",
+        "filter_ge": from_readings + "SELECT * FROM readings WHERE temperature >= 6.55::DOUBLE",
         "project_id": from_readings + "SELECT id FROM readings",
         "split_id": from_readings
         + "SELECT unnest(string_split(id, '_')) AS part FROM readings",
@@ -501,9 +525,9 @@ def _batch_sql() -> dict[str, str]:
         + f'SELECT seq, id, "timestamp", {_CELSIUS} AS temperature FROM readings',
         "freezing_alarms": from_readings
         + "SELECT 'Freezing Alarm for ' || id AS message FROM readings WHERE temperature < 32.0",
-        "round_half_up": _sql_rounded("round(d, 3)"),
+        "round_half_up": _sql_rounded("round(d, 1)"),
         "round_half_down": _sql_rounded(
-            "sign(t) * ceil(abs(d) * 1000 - 0.5)::DOUBLE / 1000.0::DOUBLE"
+            "sign(t) * ceil(abs(d) * 10 - 0.5)::DOUBLE / 10.0::DOUBLE"
         ),
         "tumbling_min": _sql_window(15 * HOUR, "min(temperature) AS temperature"),
         "tumbling_max": _sql_window(10 * HOUR, "max(temperature) AS temperature"),

@@ -205,3 +205,14 @@ def test_hot_keys_are_few(spark):
     assert running.hot_keys(rows, ["id"], "seq", tuning).count() == 0
     skewed = rows.selectExpr("seq", "if(seq % 3 = 0, 'x', id) AS id")
     assert [r[0] for r in running.hot_keys(skewed, ["id"], "seq", tuning).collect()] == ["x"]
+
+
+def test_slices_follow_the_spread_of_the_order(spark):
+    """Numbers far apart, such as clock readings, don't make a slice of every row."""
+    rows = spark.range(2_000).selectExpr("id * 33554432 - 1000 AS seq", "id AS v")
+    scans = {"best": running.running_max(running.F.col("v"), with_current=False)}
+    tuning = running.Tuning(rows_per_slice=50)
+    result = running.add_running(rows, [], "seq", scans, tuning=tuning, keep_slices=True)
+    sizes = [r["count"] for r in result.groupBy(running.SLICE).count().collect()]
+    assert max(sizes) <= 100 and len(sizes) <= 50
+    assert result.filter("v > 0 AND best != v - 1 OR v = 0 AND best IS NOT NULL").isEmpty()

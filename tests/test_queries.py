@@ -48,6 +48,31 @@ def test_known_row_counts(spark, medium, name, rows):
     assert QUERIES[name](spark, medium).count() == rows
 
 
+@pytest.mark.parametrize(
+    ("one", "other"),
+    [
+        ("filter_gt", "filter_ge"),
+        ("round_half_up", "round_half_down"),
+        ("split_words_java", "split_words_ws"),
+        ("word_count_java", "word_count_ws"),
+    ],
+)
+def test_modes_can_be_told_apart(medium, one, other):
+    both = connect(medium)
+    rows = [both.sql(ORACLE[name]).fetchall() for name in (one, other)]
+    assert sorted(rows[0]) != sorted(rows[1])
+
+
+def test_steps_show_late_updates_and_cleaned_rows(medium):
+    both = connect(medium)
+    tags = both.sql(f"SELECT DISTINCT tag FROM ({ORACLE['stream_late_update_counts']})").fetchall()
+    assert {t for t, in tags} == {"first", "update"}
+    count = f"SELECT count(*) FROM ({ORACLE['stream_self_cleaning_alerts']})"
+    kept, = both.sql(count).fetchall()[0]
+    every, = both.sql(f"SELECT count(*) FROM ({ORACLE['temp_change_alerts']})").fetchall()[0]
+    assert kept < 0.95 * every
+
+
 def test_entry(spark):
     result = entry.entry(spark)
     assert set(result.columns) == {"id", "end_ts", "cnt", "tag"}

@@ -51,9 +51,9 @@ def test_early_counts_in_steps(spark):
         60_000,
     )
     last = max(r[2] for r in rows)
-    flush = [(len(rows), jobs.FLUSH_KEY, last + 60_000, 0.0)]
+    flush = [(len(rows), "flush", last + 60_000, 0.0)]
     expected = machines.early_in_steps([*steps_of(rows), flush], 10_000, 1_000, 1_000)
-    expected = sorted(r for r in expected if r[0] != jobs.FLUSH_KEY)
+    expected = sorted(r for r in expected if r[0] != "flush")
     assert got(result, "id", "end_ts", "eval_time", "cnt") == expected
 
 
@@ -67,7 +67,7 @@ def test_late_rows_are_tagged(spark):
         result = jobs.replay_in_steps(
             frame(spark, rows),
             STEPS,
-            lambda r, size=size: jobs.tag_late(r, 1_000, 60_000, size),
+            lambda r, size=size: jobs.tag_late(r, 1_000, size),
             "late",
             60_000,
         )
@@ -75,6 +75,18 @@ def test_late_rows_are_tagged(spark):
         assert got(result, "seq", "is_late") == wanted
 
 
+def test_no_late_row_is_lost(spark):
+    """Rows ten days late, below number 0, of no key and of any name come out, marked."""
+    day = 86_400_000
+    rows = [(i, key, 1_700_000_000_000 + i * 1_000, 1.0)
+            for i, key in zip(range(-2, 8), ["a", None, "_flush", "a", "b"] * 2)]
+    rows += [(8, "a", 1_700_000_000_000 - 10 * day, 2.0), (9, None, 1_700_000_000_000 - day, 2.0)]
+    result = jobs.replay_in_steps(
+        frame(spark, rows), 2, lambda r: jobs.tag_late(r, 1_000), "very_late", 60_000
+    )
+    assert got(result, "seq", "is_late") == [(s, s >= 8) for s in range(-2, 10)]
+
+
 def test_late_against_a_punctuated_watermark(spark):
     rows = stream(n=120, seed=25, jitter=6_000)
     result = jobs.replay_in_steps(

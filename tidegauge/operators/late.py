@@ -60,21 +60,12 @@ def updated_window_counts(
         F.greatest(F.col("punctual"), F.lit(1).cast("bigint")).alias("first"),
         (F.col("punctual") + F.col("late")).alias("last"),
     )
-    block = F.lit(UPDATES_PER_BLOCK)
-    size = F.col("last") - F.col("first")
-    few = results.filter(size < block).withColumn(
-        "cnt", F.explode(F.sequence("first", "last"))
-    )
     # A window with very many updates is dealt out in blocks.
-    many = (
-        results.filter(size >= block)
-        .withColumn("low", F.explode(F.sequence("first", "last", block)))
-        .repartition("id", "end_ts", "low")
-        .withColumn(
-            "cnt",
-            F.explode(F.sequence("low", F.least(F.col("low") + block - F.lit(1), F.col("last")))),
-        )
-        .drop("low")
+    block = F.lit(UPDATES_PER_BLOCK)
+    blocks = results.withColumn("low", F.explode(F.sequence("first", "last", block)))
+    high = F.least(F.col("low") + block - F.lit(1), F.col("last"))
+    numbered = blocks.repartition("id", "end_ts", "low").withColumn(
+        "cnt", F.explode(F.sequence("low", high))
     )
     tag = F.when(F.col("cnt") == F.col("first"), "first").otherwise("update")
-    return few.unionByName(many).select("id", "end_ts", "cnt", tag.alias("tag"))
+    return numbered.select("id", "end_ts", "cnt", tag.alias("tag"))

@@ -132,6 +132,13 @@ def hot_keys(
     )
 
 
+def _width(df: DataFrame, order: str, tuning: Tuning) -> Column:
+    """Numbers per slice, so that a slice has about ``rows_per_slice`` rows."""
+    spread = F.max(order).cast("double") - F.min(order).cast("double") + F.lit(1.0)
+    width = F.ceil(spread * F.lit(float(tuning.rows_per_slice)) / F.count(order))
+    return df.agg(F.greatest(width, F.lit(1)).cast("bigint").alias("width")).scalar()
+
+
 def add_running(
     df: DataFrame,
     keys: Sequence[str],
@@ -145,7 +152,7 @@ def add_running(
 
     ``order[0]`` is a whole number; further columns break ties. Without keys few
     rows may share it (as with a sequence number), for slices are runs of that
-    number. With keys, ``base`` may name a cheaper relation with the same keys and order
+    number, as wide as its spread over the rows asks for. With keys, ``base`` may name a cheaper relation with the same keys and order
     (such as the bare table scan) to find hot keys in. With ``keep_slices`` the
     result may go into a further call on the same keys, which then needs no new
     shuffle of the rows.
@@ -160,7 +167,7 @@ def add_running(
         sliced = df.join(hot, keys, "left").withColumn(SLICE, slice_no)
         shared = df.join(hot, keys).withColumn(SLICE, slice_no)
     else:
-        sliced = df.withColumn(SLICE, whole_div(F.col(order[0]), tuning.rows_per_slice))
+        sliced = df.withColumn(SLICE, F.call_function("div", F.col(order[0]), _width(df, order[0], tuning)))
         shared = sliced
 
     folded = shared.groupBy(*keys, SLICE).agg(

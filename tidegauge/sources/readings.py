@@ -59,13 +59,19 @@ def stream_readings(spark: SparkSession, path: str, **options) -> DataFrame:
     return with_event_time(spark.readStream.schema(READING).options(**options).parquet(path))
 
 
-def stream_events(spark: SparkSession, folder: str, table: str = "events", **options) -> DataFrame:
-    """A recorded event table as a live source, be it one file or a folder of files."""
-    live = spark.readStream.schema(EVENT).options(**options)
+def stream_table(
+    spark: SparkSession, folder: str, table: str, schema: T.StructType, **options
+) -> DataFrame:
+    """A recorded table as a live source, be it one file or a folder of files."""
+    live = spark.readStream.schema(schema).options(**options)
     # a pattern, as the file source takes plain paths for folders
     return live.parquet(f"{folder}/{{{table}}}.parquet")
 
 
+def stream_events(spark: SparkSession, folder: str, table: str = "events", **options) -> DataFrame:
+    return stream_table(spark, folder, table, EVENT, **options)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines, one row each, in column ``value``."""
     return spark.read.text(path)
@@ -162,8 +168,16 @@ def triples_of_lineitem(lineitem: DataFrame) -> DataFrame:
 
 
 def lines_of_documents(documents: DataFrame, gap_ms: int = 100) -> DataFrame:
-    """Document texts as lines; each document arrives ``gap_ms`` after the last."""
-    return documents.select(
-        F.explode(F.split("text", "\n")).alias("value"),
+    """Document texts as lines; each document arrives ``gap_ms`` after the last.
+
+    Each line stands between the document's source, with two spaces, and its
+    language, with a tab, so that what separates words makes a difference.
+    """
+    lines = documents.select(
+        F.explode(F.split("text", "\n")).alias("line"),
         (F.col("doc_id") * F.lit(gap_ms)).alias("arrival"),
+        F.coalesce("source", F.lit("")).alias("source"),
+        F.coalesce("lang", F.lit("")).alias("lang"),
     )
+    value = F.concat("source", F.lit("  "), "line", F.lit("\t"), "lang")
+    return lines.select(value.alias("value"), "arrival")

@@ -7,6 +7,7 @@ operator. Rows per micro-batch are set at the source (``maxFilesPerTrigger``,
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark import cloudpickle
@@ -16,7 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 import tidegauge
 from tidegauge.functions.scalar import reading_text
-from tidegauge.functions.timeops import HOUR, MINUTE, SECOND
+from tidegauge.functions.timeops import HOUR, MINUTE, SECOND, whole_div
 from tidegauge.operators import windows
 from tidegauge.operators.transforms import upper_names
 from tidegauge.session import ROCKSDB, shared_folder
@@ -43,11 +44,20 @@ def _stateful(
     )
 
 
-def _watermarked(readings: DataFrame, bound_ms: int, horizon_ms: int = 0) -> DataFrame:
-    delay = f"{bound_ms + horizon_ms} milliseconds"
+def _watermarked(readings: DataFrame, bound_ms: int) -> DataFrame:
+    delay = f"{bound_ms} milliseconds"
     return readings.select(*READING_COLUMNS, "event_time").withWatermark("event_time", delay)
 
 
+def _all_rows(watermarked: DataFrame) -> DataFrame:
+    """Rows without the watermark's column, which moves the watermark all the same.
+
+    A stateful operator withholds rows by that column; without it, it is handed
+    every row, however late.
+    """
+    return watermarked.select(*READING_COLUMNS)
+
+
 def name_counts(names: DataFrame) -> DataFrame:
     return _stateful(upper_names(names), "value", p.NameCounter())
 
@@ -69,10 +79,9 @@ def self_cleaning_alerts(
     threshold: float = 1.7,
     ttl_ms: int = HOUR,
     bound_ms: int = 5 * SECOND,
-    horizon_ms: int = 24 * HOUR,
 ) -> DataFrame:
-    processor = p.SelfCleaningAlert(threshold, ttl_ms, horizon_ms)
-    return _stateful(_watermarked(readings, bound_ms, horizon_ms), "id", processor, "EventTime")
+    rows = _all_rows(_watermarked(readings, bound_ms))
+    return _stateful(rows, "id", p.SelfCleaningAlert(threshold, ttl_ms), "EventTime")
 
 
 def rise_warnings(readings: DataFrame, duration_ms: int = SECOND) -> DataFrame:
@@ -117,35 +126,25 @@ def fire_alerts(
 
 
 def tag_late(
-    readings: DataFrame,
-    bound_ms: int = 5 * SECOND,
-    horizon_ms: int = 24 * HOUR,
-    size_ms: int | None = None,
+    readings: DataFrame, bound_ms: int = 5 * SECOND, size_ms: int | None = None
 ) -> DataFrame:
     """Readings with ``is_late``; with ``size_ms``, late for their window.
 
     Two filters of the result are the main and the late output. The counts that
     go with the latter are ``updated_window_counts`` without lateness.
     """
-    rows = _watermarked(readings, bound_ms, horizon_ms)
-    return _stateful(rows, "id", p.LateTagger(horizon_ms, size_ms), "EventTime")
+    rows = _all_rows(_watermarked(readings, bound_ms))
+    return _stateful(rows, "id", p.LateTagger(size_ms), "EventTime")
 
 
 def tag_late_punctuated(
-    readings: DataFrame,
-    marker_id: str = "sensor_1",
-    bound_ms: int = MINUTE,
-    horizon_ms: int = 24 * HOUR,
+    readings: DataFrame, marker_id: str = "sensor_1", bound_ms: int = MINUTE
 ) -> DataFrame:
-    """The same against a watermark that only rows of one key raise.
-
-    That watermark is on a column only those rows have, so Spark withholds no
-    others, however late.
-    """
+    """The same against a watermark that only rows of one key raise."""
     marked = readings.select(
         *READING_COLUMNS, F.when(F.col("id") == marker_id, F.col("event_time")).alias("raises")
-    ).withWatermark("raises", f"{bound_ms + horizon_ms} milliseconds")
-    return _stateful(marked, "id", p.LateTagger(horizon_ms, inclusive=True), "EventTime")
+    ).withWatermark("raises", f"{bound_ms} milliseconds")
+    return _stateful(_all_rows(marked), "id", p.LateTagger(inclusive=True), "EventTime")
 
 
 def updated_window_counts(
@@ -153,11 +152,9 @@ def updated_window_counts(
     size_ms: int = 10 * SECOND,
     lateness_ms: int = 5 * SECOND,
     bound_ms: int = 5 * SECOND,
-    horizon_ms: int | None = None,
 ) -> DataFrame:
-    horizon = size_ms + 2 * lateness_ms if horizon_ms is None else horizon_ms
-    rows = _watermarked(readings, bound_ms, horizon)
-    return _stateful(rows, "id", p.UpdatingCount(size_ms, lateness_ms, horizon), "EventTime")
+    rows = _all_rows(_watermarked(readings, bound_ms))
+    return _stateful(rows, "id", p.UpdatingCount(size_ms, lateness_ms), "EventTime")
 
 
 def early_window_counts(
@@ -165,11 +162,9 @@ def early_window_counts(
     size_ms: int = 30 * SECOND,
     tick_ms: int = SECOND,
     bound_ms: int = 5 * SECOND,
-    horizon_ms: int | None = None,
 ) -> DataFrame:
-    horizon = 2 * size_ms if horizon_ms is None else horizon_ms
-    rows = _watermarked(readings, bound_ms, horizon)
-    return _stateful(rows, "id", p.EarlyCount(size_ms, tick_ms, horizon), "EventTime")
+    rows = _all_rows(_watermarked(readings, bound_ms))
+    return _stateful(rows, "id", p.EarlyCount(size_ms, tick_ms), "EventTime")
 
 
 def window_max(
@@ -243,26 +238,27 @@ def replay_in_steps(
     """Replay recorded readings as ``steps`` micro-batches in arrival order.
 
     The watermark moves between steps. Each step is written to the shared folder
-    and the job is taken up again from its checkpoint. A last reading, of a key
-    that is left out of the result, is ``flush_after_ms`` later than all others,
+    and the job is taken up again from its checkpoint. A last reading, of a new
+    key that is left out of the result, is ``flush_after_ms`` later than all others,
     so that windows still open are closed.
     """
     spark = recorded.sparkSession
     folder = shared_folder(spark, name)
     source, out, checkpoint = (f"{folder}/{part}" for part in ("in", "out", "checkpoint"))
-    top = recorded.agg(F.max("seq").alias("seq"), F.max("timestamp").alias("timestamp"))
-    width = recorded.agg(F.max("seq")).first()[0] // steps + 1
+    flush_key = f"flush-{uuid.uuid4().hex}"
     rows = recorded.select(*READING_COLUMNS)
+    top = rows.agg(F.max("seq").alias("seq"), F.max("timestamp").alias("timestamp"))
+    last = top.first()["seq"]
     flush = top.select(
         (F.col("seq") + 1).alias("seq"),
-        F.lit(FLUSH_KEY).alias("id"),
+        F.lit(flush_key).alias("id"),
         (F.col("timestamp") + F.lit(flush_after_ms)).alias("timestamp"),
         F.lit(0.0).alias("temperature"),
     )
-    parts = [
-        rows.filter((F.col("seq") >= i * width) & (F.col("seq") < (i + 1) * width))
-        for i in range(steps)
-    ]
+    width = (last or 0) // steps + 1
+    # the first step takes all lower numbers, too
+    step = F.greatest(whole_div(F.col("seq"), width), F.lit(0))
+    parts = [rows.filter(step == i) for i in range(steps)]
     result = None
     for part in [*parts, flush]:
         part.write.mode("append").parquet(source)
@@ -270,7 +266,5 @@ def replay_in_steps(
         result = job(live.withColumn("event_time", F.timestamp_millis("timestamp")))
         cores = spark.sparkContext.defaultParallelism
         start(result, out, checkpoint, partitions=cores).awaitTermination()
-    return spark.read.schema(result.schema).parquet(out).filter(F.col("id") != FLUSH_KEY)
-
-
-FLUSH_KEY = "_flush"
+    ours = F.col("id").eqNullSafe(flush_key)
+    return spark.read.schema(result.schema).parquet(out).filter(~ours)

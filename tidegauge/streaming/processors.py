@@ -4,9 +4,7 @@ Spark hands a processor the rows one key got in one micro-batch, in no
 particular order; each sorts them by ``seq`` and works on whole columns. What a
 key holds between batches is one value, or one small entry per open window.
 
-Processors that need to see late rows are given a *horizon*: the query declares
-a watermark that much further back, because Spark withholds rows older than the
-declared one. ``_watermark`` adds it back, and timers are set that much earlier.
+Late rows reach a processor as all others do (see ``jobs._all_rows``).
 """
 
 from __future__ import annotations
@@ -27,9 +25,9 @@ def _in_order(chunks: Iterator[pd.DataFrame], *columns: str) -> pd.DataFrame:
     return rows.sort_values(list(columns) or ["seq"], kind="stable", ignore_index=True)
 
 
-def _watermark(timer_values, horizon_ms: int) -> int:
-    declared = timer_values.getCurrentWatermarkInMs()
-    return declared + horizon_ms if declared > 0 else NO_WATERMARK
+def _watermark(timer_values) -> int:
+    """Spark's watermark, which is 0 before there is one."""
+    return timer_values.getCurrentWatermarkInMs() or NO_WATERMARK
 
 
 class _Value(StatefulProcessor):
@@ -122,10 +120,9 @@ class SelfCleaningAlert(_Value):
     schema = ChangeAlert.schema
     state_schema = "temperature double, timestamp long, timer long"
 
-    def __init__(self, threshold: float, ttl_ms: int, horizon_ms: int):
+    def __init__(self, threshold: float, ttl_ms: int):
         self.threshold = threshold
         self.ttl_ms = ttl_ms
-        self.horizon_ms = horizon_ms
 
     def handleInputRows(self, key, rows, timerValues):
         batch = _in_order(rows)
@@ -136,10 +133,10 @@ class SelfCleaningAlert(_Value):
         if known:
             before[0], seen[0] = known[0], known[1]
             self.handle.deleteTimer(known[2])
-        now = _watermark(timerValues, self.horizon_ms)
+        now = _watermark(timerValues)
         # rows come before due timers, so a value past its time is ignored here
         before[seen + self.ttl_ms <= now] = np.nan
-        timer = int(times[-1]) + self.ttl_ms - self.horizon_ms
+        timer = int(times[-1]) + self.ttl_ms
         self.handle.registerTimer(timer)
         self.value.update((float(values[-1]), int(times[-1]), timer))
         yield _changes(key[0], values, before, self.threshold)
@@ -238,8 +235,7 @@ class LateTagger(StatefulProcessor):
 
     schema = "seq long, id string, timestamp long, temperature double, is_late boolean"
 
-    def __init__(self, horizon_ms: int, size_ms: int | None = None, inclusive: bool = False):
-        self.horizon_ms = horizon_ms
+    def __init__(self, size_ms: int | None = None, inclusive: bool = False):
         self.size_ms = size_ms
         # a bounded watermark is one millisecond below what Spark declares
         self.below_ms = 0 if inclusive else 1
@@ -248,7 +244,7 @@ class LateTagger(StatefulProcessor):
         pass
 
     def handleInputRows(self, key, rows, timerValues):
-        now = _watermark(timerValues, self.horizon_ms) - self.below_ms
+        now = _watermark(timerValues) - self.below_ms
         for chunk in rows:
             tagged = chunk[["seq", "id", "timestamp", "temperature"]]
             times = tagged["timestamp"]
@@ -267,9 +263,8 @@ class _Windows(StatefulProcessor):
 
     count_schema = ""
 
-    def __init__(self, size_ms: int, horizon_ms: int):
+    def __init__(self, size_ms: int):
         self.size_ms = size_ms
-        self.horizon_ms = horizon_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -293,19 +288,19 @@ class UpdatingCount(_Windows):
     schema = "id string, end_ts long, cnt long, tag string"
     count_schema = "cnt long, fired boolean"
 
-    def __init__(self, size_ms: int, lateness_ms: int, horizon_ms: int):
-        super().__init__(size_ms, horizon_ms)
+    def __init__(self, size_ms: int, lateness_ms: int):
+        super().__init__(size_ms)
         self.lateness_ms = lateness_ms
 
     def handleInputRows(self, key, rows, timerValues):
-        now = _watermark(timerValues, self.horizon_ms)
+        now = _watermark(timerValues)
         for end, arrived in self._arrivals(rows):
             if now >= end + self.lateness_ms:
                 continue
             count, fired = self.windows.getValue((end,)) or (0, False)
             if not count:
-                self.handle.registerTimer(end - self.horizon_ms)
-                self.handle.registerTimer(end + self.lateness_ms - self.horizon_ms)
+                self.handle.registerTimer(end)
+                self.handle.registerTimer(end + self.lateness_ms)
             total = count + arrived
             if now >= end:
                 # pending first result, then one more for each late row
@@ -315,7 +310,7 @@ class UpdatingCount(_Windows):
             self.windows.updateValue((end,), (total, fired))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        due = expiredTimerInfo.getExpiryTimeInMs() + self.horizon_ms
+        due = expiredTimerInfo.getExpiryTimeInMs()
         pending = self.windows.getValue((due,)) if self.windows.containsKey((due,)) else None
         if pending and not pending[1]:
             self.windows.updateValue((due,), (pending[0], True))
@@ -342,8 +337,8 @@ class EarlyCount(_Windows):
     schema = "id string, end_ts long, eval_time long, cnt long"
     count_schema = "cnt long"
 
-    def __init__(self, size_ms: int, tick_ms: int, horizon_ms: int):
-        super().__init__(size_ms, horizon_ms)
+    def __init__(self, size_ms: int, tick_ms: int):
+        super().__init__(size_ms)
         self.tick_ms = tick_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -351,7 +346,7 @@ class EarlyCount(_Windows):
         self.evaluated = handle.getValueState("evaluated", "watermark long")
 
     def handleInputRows(self, key, rows, timerValues):
-        now = _watermark(timerValues, self.horizon_ms)
+        now = _watermark(timerValues)
         for end, arrived in self._arrivals(rows):
             if now >= end:
                 continue
@@ -362,7 +357,7 @@ class EarlyCount(_Windows):
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        now = _watermark(timerValues, self.horizon_ms)
+        now = _watermark(timerValues)
         results = []
         if self._evaluates(now):
             for (end,), (count,) in list(self.windows.iterator()):
@@ -382,11 +377,11 @@ class EarlyCount(_Windows):
         return True
 
     def _set_timers(self, now: int, end: int) -> None:
-        self.handle.registerTimer(end - self.horizon_ms)
+        self.handle.registerTimer(end)
         # without a watermark, the first one there is makes a tick
-        tick = 1 + self.horizon_ms if now == NO_WATERMARK else now - now % self.tick_ms + self.tick_ms
+        tick = 1 if now == NO_WATERMARK else now - now % self.tick_ms + self.tick_ms
         if tick < end:
-            self.handle.registerTimer(tick - self.horizon_ms)
+            self.handle.registerTimer(tick)
 
 
 class LatestValue(_Value):
