@@ -17,9 +17,6 @@ from tidegauge.plans.running import (
 )
 from tidegauge.session import materialize
 
-# Rises of one unbroken climb that may be walked through as one array.
-MAX_RISES_WALKED = 100_000
-
 
 def change_alerts(
     readings: DataFrame, threshold: float = 1.7, tuning: Tuning = DEFAULT
@@ -73,7 +70,6 @@ def _alert(known: DataFrame, before, threshold: float) -> DataFrame:
 def rise_warnings(
     readings: DataFrame,
     duration_ms: int = SECOND,
-    max_walked: int = MAX_RISES_WALKED,
     tuning: Tuning = DEFAULT,
 ) -> DataFrame:
     """A warning when a key's temperature has not fallen for ``duration_ms``.
@@ -84,53 +80,24 @@ def rise_warnings(
 
     A fall leaves no timer whatever came before, so each climb (the rows between
     two falls) stands alone. A climb shorter than the duration sets one timer, at
-    its first rise. In longer climbs each timer is set by the first rise not
-    before the last one came due; that walk is one array fold where the climb has
-    few rises, and repeated doubling of the steps where it has many.
+    its first rise. In others each timer is set by the first rise not before the
+    last one came due, found by repeated doubling of the steps.
     """
     due = F.lit(duration_ms)
-    marks = _climbs(readings, tuning)
-    # No climb is longer than its key, and keys are quick to count.
-    large_keys = readings.groupBy("id").count().filter(F.col("count") > max_walked)
-    may_be_long = not large_keys.isEmpty()
-    if may_be_long:
-        marks = materialize(marks, "climbs")
+    marks = materialize(_climbs(readings, tuning), "climbs")
     clock = readings.agg(F.max("timestamp").alias("clock")).scalar()
     climbs = marks.groupBy("id", "climb").agg(
         F.min("rise").alias("first"),
         F.max("rise").alias("last"),
-        F.count("rise").alias("rises"),
         F.coalesce(F.max("fall"), clock).alias("ends"),
     )
-    climbs = climbs.filter(F.col("first") + due <= F.col("ends"))
+    climbs = materialize(climbs.filter(F.col("first") + due <= F.col("ends")), "due-climbs")
     single = climbs.filter(F.col("last") < F.col("first") + due).select(
         "id", "ends", F.col("first").alias("set_at")
     )
     several = climbs.filter(F.col("last") >= F.col("first") + due)
     rises = marks.filter(F.col("rise").isNotNull()).select("id", "climb", "rise")
-
-    walked = several.filter(F.col("rises") <= max_walked).select("id", "climb", "ends")
-    times = (
-        walked.join(rises, ["id", "climb"])
-        .groupBy("id", "climb", "ends")
-        .agg(F.array_sort(F.collect_list("rise")).alias("times"))
-    )
-    start = F.array().cast("array<bigint>")
-
-    def step(set_at, rise):
-        free = (F.size(set_at) == 0) | (rise >= F.element_at(set_at, -1) + due)
-        return F.when(free, F.array_append(set_at, rise)).otherwise(set_at)
-
-    folded = times.select(
-        "id", "ends", F.explode(F.aggregate("times", start, step)).alias("set_at")
-    )
-    set_timers = single.unionByName(folded)
-
-    long_climbs = several.filter(F.col("rises") > max_walked)
-    if may_be_long and not long_climbs.isEmpty():
-        set_timers = set_timers.unionByName(
-            _long_climb_timers(rises, long_climbs, duration_ms, tuning)
-        )
+    set_timers = single.unionByName(_timers(rises, several, duration_ms, tuning))
 
     before, after = RISE_TEXT
     return set_timers.filter(F.col("set_at") + due <= F.col("ends")).select(
@@ -164,18 +131,17 @@ def _climbs(readings: DataFrame, tuning: Tuning) -> DataFrame:
     )
 
 
-def _long_climb_timers(
+def _timers(
     rises: DataFrame, climbs: DataFrame, duration_ms: int, tuning: Tuning
 ) -> DataFrame:
-    """Timers of climbs with too many rises to walk through one by one.
+    """Timers of climbs that may set more than one.
 
     Each rise gets the rise that sets the next timer after it. Starting from the
     first rise, a round marks one jump ahead of all marked rises and doubles the
     jump, so rounds are few even for very long climbs.
     """
     climb = ["id", "climb"]
-    climbs = materialize(climbs, "long-climbs")
-    times = materialize(rises.join(climbs.select(*climb), climb).distinct(), "long-rises")
+    times = materialize(rises.join(climbs.select(*climb), climb).distinct(), "rises")
 
     # The next rise at or after rise + duration, looked up by walking back in time.
     ahead = times.select(
