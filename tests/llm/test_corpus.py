@@ -260,3 +260,30 @@ def test_pipeline(spark, small):
     assert set(docs.columns) < set(result.columns)
     ids = {r.doc_id for r in result.select("doc_id").collect()}
     assert ids and ids < {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_mix_draws_whole_documents(spark):
+    made = [(i, " ".join(f"w{i}x{j}" for j in range(20 + i % 9)), "en", f"s{i % 3}", 0, "x", "y") for i in range(90)]
+    made += [(None, "one two three four five", "en", "s0", k, "x", "y") for k in range(60)]
+    docs = spark.createDataFrame(made, SCHEMA)
+    whole = {r[1] for r in made}
+    sizes = collections.Counter()
+    for _, text, _, s, *_ in made:
+        sizes[s] += len(text.split())
+    assert len(set(sizes.values())) == 3  # a source is told by its size below
+    draws = {}
+    for seed in ("a", "b", "a"):
+        got = mix.mixed_documents(docs, seed=seed).collect()
+        total, cut = collections.Counter(), collections.Counter()
+        for r in got:
+            total[r.source] += r.n_words_taken
+            assert len(r.text.split()) == r.n_words_taken
+            cut[r.source] += r.text not in whole
+        words = collections.Counter()
+        for r in mix.mixture(docs, seed=seed).collect():
+            words[r.source_size] += r.taken
+        assert {s: total[s] for s in sizes} == {s: words[n] for s, n in sizes.items()}
+        assert all(n <= 1 for n in cut.values())
+        assert any(total[s] < sizes[s] for s in sizes)
+        draws.setdefault(seed, []).append(collections.Counter((r.doc_id, r.text, r.repetition) for r in got))
+    assert draws["a"][0] == draws["a"][1] and draws["a"][0] != draws["b"][0]

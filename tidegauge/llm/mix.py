@@ -2,10 +2,14 @@
 
 Sources share the words of the whole corpus by weight. A source stops at
 ``max_epochs`` times its own size and what it leaves goes to the others by their
-weights, until none is above its cap. Each document is then taken in whole
-repetitions and one fractional repetition; a seeded draw rounds the latter to
-words, so that the words taken of a source meet its target within a few words
-for any number of documents.
+weights, until none is above its cap. ``mixture`` gives each document its share in
+words, rounded by a seeded draw, so that the words taken of a source meet its
+target within a few words for any number of documents.
+
+``mixed_documents`` takes these words of a source in whole documents: all documents
+of the source are repeated equally often, and the rest of the words, less than one
+repetition of the source, is dealt to documents in the order of a seeded hash. One
+document of a source at most is cut, the one at which the words run out.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = "mix-1"
+KEY_BITS, DIGIT_BITS = 63, 7
 
 
 def n_words(text: str = "text") -> Column:
@@ -91,7 +96,7 @@ def mixture(documents: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED
         documents.select("doc_id", "source", n_words().alias("size")), "sizes"
     )
     targets = materialize(source_targets(sized, max_epochs=max_epochs), "targets")
-    return _taken(sized, targets, max_epochs, seed)
+    return _taken(sized, targets, max_epochs, seed).drop("source")
 
 
 def _taken(sized: DataFrame, targets: DataFrame, max_epochs: int, seed: str) -> DataFrame:
@@ -102,23 +107,83 @@ def _taken(sized: DataFrame, targets: DataFrame, max_epochs: int, seed: str) ->
         sized.join(t, F.col("source").eqNullSafe(F.col("_source")))
         .drop("_source")
         .withColumn("taken", F.when(F.col("size") > 0, taken).otherwise(0).cast("bigint"))
-        .drop("source")
     )
 
 
+def _key(seed: str) -> Column:
+    """The place of a document in the order of the draw, from its id and text."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "text"), 64 - KEY_BITS)
+
+
+def _cuts(keyed: DataFrame, budgets: DataFrame) -> tuple[DataFrame, int, bool]:
+    """Where the words of each source run out in the order of the keys.
+
+    Rows (_source, whole, left, cut, n), from rows (source, key, size) and rows
+    (_source, whole, left), and how many low bits of a key are to be left off before
+    it is compared with ``cut``: documents below it are drawn whole, the ``n`` at it
+    share ``left`` words. Each round fixes some bits, until one document is left at
+    every cut; the last value tells that documents of one key remain. A source has
+    128 sums in a round, whatever its size.
+    """
+    at, bits, tied = budgets.withColumn("cut", F.lit(0).cast("bigint")), KEY_BITS, True
+    while tied and bits:
+        inside = keyed.join(
+            at,
+            F.col("source").eqNullSafe(F.col("_source")) & (F.shiftright("key", bits) == F.col("cut")),
+        ).drop("cut")
+        bits -= DIGIT_BITS
+        sums = inside.groupBy("_source", "whole", "left", F.shiftright("key", bits).alias("cut")).agg(
+            F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")
+        )
+        before = F.sum("words").over(Window.partitionBy("_source").orderBy("cut")) - F.col("words")
+        left = F.col("left") - F.col("before")
+        at = materialize(
+            sums.withColumn("before", before)
+            .filter((left >= 0) & (left < F.col("words")))
+            .select("_source", "whole", left.alias("left"), "cut", "n"),
+            "cuts",
+        )
+        tied = not at.filter("n > 1").isEmpty()
+    return at, bits, tied
+
+
 def mixed_documents(documents: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mix itself: one row per repetition, numbered from 0, with all columns.
 
-    Whole repetitions keep the text; the last one of a document may be cut to its
-    first words. Documents of which nothing is taken are left out.
+    A source gives as many words as ``mixture`` takes of it. Texts are whole but for
+    one repetition of one document of a source, which may be cut to its first words.
+    Documents of which nothing is taken are left out. Rows alike in id and text that
+    meet at the cut are told apart in one task.
     """
-    held = documents.select(
-        F.struct(*documents.columns).alias("_doc"), "doc_id", "source", n_words().alias("size")
+    size, key = n_words().alias("size"), _key(seed).alias("key")
+    sized = materialize(documents.select("doc_id", "source", size, key), "sizes")
+    targets = materialize(source_targets(sized, max_epochs=max_epochs), "targets")
+    words = (
+        _taken(sized, targets, max_epochs, seed)
+        .filter("size > 0")
+        .groupBy(F.col("source").alias("_source"))
+        .agg(F.sum("taken").alias("words"), F.sum("size").alias("all"))
     )
-    targets = materialize(
-        source_targets(held.select("source", "size"), max_epochs=max_epochs), "targets"
+    whole = F.expr("words div all")
+    budgets = words.select("_source", whole.alias("whole"), (F.col("words") - whole * F.col("all")).alias("left"))
+    keyed = sized.filter("size > 0").select("source", "key", "size")
+    cuts, bits, tied = _cuts(keyed, materialize(budgets, "budgets"))
+    held = documents.select(F.struct(*documents.columns).alias("_doc"), "source", size, key).filter("size > 0")
+    marked = held.join(cuts, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
+        "place", F.shiftright("key", bits)
     )
-    taken = _taken(held, targets, max_epochs, seed).filter("taken > 0")
+    drawn = F.when(F.col("place") < F.col("cut"), F.col("size")).when(F.col("place") == F.col("cut"), F.col("left"))
+    if tied:
+        order = Window.partitionBy("_source").orderBy("size", F.to_json("_doc"))
+        before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        rest = F.least(F.greatest(F.col("left") - before, F.lit(0)), F.col("size"))
+        at_cut = marked.filter("place = cut").withColumn("drawn", rest)
+        marked = marked.filter("place <> cut").withColumn("drawn", drawn).unionByName(at_cut)
+    else:
+        marked = marked.withColumn("drawn", drawn)
+    taken = marked.withColumn(
+        "taken", F.col("whole") * F.col("size") + F.coalesce("drawn", F.lit(0))
+    ).filter("taken > 0")
     last = F.ceil(F.col("taken") / F.col("size")) - 1
     each = taken.select(
         "_doc", "size", "taken", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("repetition")
