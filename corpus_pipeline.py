@@ -22,8 +22,11 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that are boilerplate of their source; all rows stay."""
-    kept = site_lines.without_boilerplate(docs).select(*docs.columns)
+    """Texts without the lines that are boilerplate of their source; all rows stay.
+
+    Copies count once, as the next stage keeps one of them and needs its lines.
+    """
+    kept = site_lines.without_boilerplate(docs, distinct=True).select(*docs.columns)
     return kept.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 

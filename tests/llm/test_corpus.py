@@ -287,3 +287,26 @@ def test_mix_draws_whole_documents(spark):
         assert any(total[s] < sizes[s] for s in sizes)
         draws.setdefault(seed, []).append(collections.Counter((r.doc_id, r.text, r.repetition) for r in got))
     assert draws["a"][0] == draws["a"][1] and draws["a"][0] != draws["b"][0]
+
+
+def test_copies_keep_their_lines(spark):
+    clean = "\n".join(f"line {i} of the copied page with words of its own" for i in range(4))
+    made = [(i, clean, "en", "s", 0, "x", "y") for i in range(5)]
+    made += [(10 + i, f"page {i} says this\nall rights reserved", "en", "s", 0, "x", "y") for i in range(10)]
+    docs = spark.createDataFrame(made, SCHEMA)
+    stages = dict(corpus_pipeline.STAGES)
+    lined = stages["line_dedup"](spark, docs, "")
+    text = {r.doc_id: r.text for r in lined.collect()}
+    assert len(text) == len(made)
+    assert all(text[i] == clean for i in range(5))
+    assert all(text[10 + i] == f"page {i} says this" for i in range(10))
+    kept = stages["ngram_join"](spark, lined, "")
+    assert [r.doc_id for r in kept.filter(F.col("text") == clean).collect()] == [0]
+
+
+def test_equal_texts_without_words_share_a_class(spark):
+    texts = ["", "", "!!", "!!", "??", None, None, "one two"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, "x", "y") for i, t in enumerate(texts)], SCHEMA)
+    classes = {r.doc_id: r.class_id for r in jaccard.near_duplicates(docs).collect()}
+    assert classes == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 5, 6: 5, 7: 7}
+    assert sorted(r.doc_id for r in jaccard.one_of_each_class(docs).collect()) == [0, 2, 4, 5, 7]

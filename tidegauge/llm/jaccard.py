@@ -163,8 +163,14 @@ def _units(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[list[di
         yield held
 
 
+def text_key(text: str | None) -> bytes:
+    """The class of a text without words; null is not the empty text."""
+    said = b"null" if text is None else b":" + text.encode()
+    return hashlib.blake2b(said, digest_size=16).digest()
+
+
 def _signed(documents: DataFrame) -> DataFrame:
-    """Each row with its set's key (null without words), size, bands and 8-bit values."""
+    """Each row with its set's key (null without words; then the text's), size, bands and 8-bit values."""
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
         for w in words(batch.column("text")):
@@ -175,6 +181,9 @@ def _signed(documents: DataFrame) -> DataFrame:
                 "row_key": own.column("row_key"),
                 "id": own.column("id"),
                 "set_key": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+                "text_key": [
+                    None if len(s) else text_key(own.column("text")[i].as_py()) for i, s in enumerate(sets)
+                ],
                 "n": [len(s) for s in sets],
                 "bands": list(band_hashes(signatures).view(np.int64)),
                 "sketch": [s.tobytes() for s in (signatures & np.uint32(255)).astype(np.uint8)],
@@ -184,7 +193,7 @@ def _signed(documents: DataFrame) -> DataFrame:
     return map_arrow(
         documents,
         rows,
-        f"row_key binary, id {kind}, set_key binary, n int, bands array<bigint>, sketch binary",
+        f"row_key binary, id {kind}, set_key binary, text_key binary, n int, bands array<bigint>, sketch binary",
     )
 
 
@@ -307,8 +316,9 @@ def near_duplicates(
 
     ``class_id`` is the least id of the class (null ids last), ``class_key`` the
     key of the class, ``n_links`` the number of different sets linked to the row's
-    own, ``n_copies`` the number of rows with the same set. Texts without words
-    (null and empty ones too) are classes of their own. Other columns are not read.
+    own, ``n_copies`` the number of rows with the same set. Texts without words have
+    no set: their n_copies is 1, and only equal ones share a class (null is equal to
+    null, not to the empty text). Other columns are not read.
     """
     held = documents.select(
         row_key([id_col, "text"]).alias("row_key"), F.col(id_col).alias("id"), "text"
@@ -355,12 +365,12 @@ def near_duplicates(
         "by-set",
     )
     rows = materialize(
-        signed.select("row_key", "id", "set_key")
+        signed.select("row_key", "id", "set_key", "text_key")
         .join(by_set, "set_key", "left")
         .select(
             "row_key",
             "id",
-            F.coalesce("class_key", "row_key").alias("class_key"),
+            F.coalesce("class_key", "text_key").alias("class_key"),
             F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
             F.coalesce("n_copies", F.lit(1)).cast("bigint").alias("n_copies"),
         ),
