@@ -16,7 +16,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language: not ``und``, and scored above chance."""
     model = language.train(docs.filter(~language.held_out()).select("text", "lang"))
-    known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= language.MIN_SCORE)
+    least = language.min_score(len(model.languages))
+    known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= least)
     held = docs.select(F.struct(*docs.columns).alias("doc"), "text")
     return language.predict(held, model).filter(known).select("doc.*")
 

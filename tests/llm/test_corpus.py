@@ -310,3 +310,15 @@ def test_equal_texts_without_words_share_a_class(spark):
     classes = {r.doc_id: r.class_id for r in jaccard.near_duplicates(docs).collect()}
     assert classes == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 5, 6: 5, 7: 7}
     assert sorted(r.doc_id for r in jaccard.one_of_each_class(docs).collect()) == [0, 2, 4, 5, 7]
+
+
+def test_least_score_follows_the_number_of_languages(spark, monkeypatch):
+    model = language.Model(["a", "b"], np.ones(language.FEATURES), np.zeros((language.FEATURES, 2)), 1.0)
+    monkeypatch.setattr(language, "train", lambda rows: model)
+    docs = spark.createDataFrame([(1, "neither of both", "a", "s", 0, "x", "y")], SCHEMA)
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    assert stage(spark, docs, "").count() == 0  # both have 0.5
+    model.weights[:, 0] = 1.0
+    assert stage(spark, docs, "").count() == 1
+    assert abs(language.min_score(4) - 0.3) < 1e-12 and language.min_score(1) == 1.0
+    assert all(1 / n < language.min_score(n) < 1 / n + 0.07 for n in range(2, 200))

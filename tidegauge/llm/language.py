@@ -28,7 +28,7 @@ EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.1
 CALIBRATION = 5  # one sample row in so many
 UNDETERMINED = "und"
-MIN_SCORE = 0.3  # four languages at chance have 0.25
+ABOVE_CHANCE = 1 / 15  # of the way from an even score to certainty; 0.3 with four languages
 
 _LETTER = re.compile(r"[^\W\d_]")
 _NOT_LETTER = re.compile(r"[\W\d_]+")
@@ -102,6 +102,12 @@ def temperature(logits: np.ndarray, truth: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
+def min_score(n_languages: int) -> float:
+    """The score from which a text is in a learned language: above chance, for any number of them."""
+    chance = 1.0 / max(1, n_languages)
+    return chance + (1.0 - chance) * ABOVE_CHANCE
+
+
 @dataclass
 class Model:
     languages: list[str]
