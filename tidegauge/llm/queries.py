@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import chat, decontaminate, fingerprints, jaccard, language, mix, repeats, scoring, site_lines, tokens
+from tidegauge.llm import (
+    chat,
+    decontaminate,
+    fingerprints,
+    jaccard,
+    language,
+    mix,
+    phrases,
+    repeats,
+    scoring,
+    site_lines,
+    spm,
+    tokens,
+    variants,
+)
 from tidegauge.session import prepare
 
 
@@ -90,6 +104,24 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = spm.encoded(table(spark, sf_dir, "documents"))
+    return coded.select(
+        "doc_id",
+        F.call_function("div", F.octet_length("ids"), F.lit(4)).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_repeats": op2_repeats,
@@ -101,6 +133,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_lm_scores": op9_lm_scores,
     "op10_site_lines": op10_site_lines,
+    "op11_phrases": op11_phrases,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -186,4 +221,63 @@ kept AS (SELECT r, count(*) AS n_lines, count(bad.line) AS n_dropped,
 SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped,
        CASE WHEN d.text IS NULL THEN NULL ELSE sha256(coalesce(kept.text, '')) END AS kept_sha256
 FROM d LEFT JOIN kept USING (r)""",
+    "op11_phrases": rf"""
+WITH pieces AS (SELECT coalesce(lang, '{phrases.NO_LANGUAGE}') AS lang,
+                       unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+said AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM said GROUP BY 1),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS n
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+            FROM said, (SELECT unnest(range(1, {phrases.MAX_WORDS} + 1)) AS k) WHERE len(w) >= k)
+      GROUP BY 1, 2, 3 HAVING count(*) >= {phrases.MIN_COUNT}),
+cand AS (SELECT lang, phrase, k, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT c.lang, c.phrase, c.k, a, cut, x.n AS l, y.n AS r,
+                {phrases.SCALE}::HUGEINT * a * a // (x.n::HUGEINT * y.n) AS score
+         FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand) c
+           JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:cut], ' ')
+           JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:], ' ')),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_ AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+           FROM (SELECT *, unnest(range(1, k - m + 2)) AS i
+                 FROM (SELECT *, unnest(range(2, k)) AS m FROM cand WHERE k > 2)) GROUP BY 1, 2),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+                  phrase, a, l, r, score
+           FROM scored LEFT JOIN inner_ USING (lang, phrase)
+           WHERE NOT coalesce(100 * longer >= {phrases.COVERED_PERCENT} * a, false))
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= {phrases.TOP}""",
+    "op12_spelling_variants": rf"""
+WITH RECURSIVE entries AS (
+  SELECT list(list_reduce(range(8), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+              x) ORDER BY x) AS tab FROM (SELECT unnest(range(256)) AS x)),
+runs AS (SELECT doc_id, run, count(*) AS n
+         FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+               FROM documents) GROUP BY 1, 2),
+hashed AS (
+  SELECT run, n, xor(list_reduce(
+           list_transform(range(1, length(h), 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT),
+           lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+  FROM (SELECT run, n, hex(coalesce(doc_id::VARCHAR, '') || ':' || run) AS h FROM runs), entries),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT n, CASE WHEN h % {variants.NOISE} <> 0 THEN run
+                       ELSE substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) END AS word
+        FROM hashed)
+  WHERE length(word) >= {variants.MIN_LETTERS} GROUP BY 1 HAVING sum(n) >= {variants.MIN_OCCURRENCES}),
+less AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d
+         FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT x.word, y.word AS other FROM less x JOIN less y ON x.i = y.i AND x.d = y.d AND x.word <> y.word
+  UNION SELECT x.word, y.word FROM less x JOIN words y ON x.d = y.word
+  UNION SELECT y.word, x.word FROM less x JOIN words y ON x.d = y.word),
+best AS (SELECT near.word, count(*) AS n_near,
+                arg_min({{'form': other, 'n': o.n}}, {{'less': -o.n, 'form': other}}) AS b
+         FROM near JOIN words o ON o.word = other GROUP BY 1),
+known AS (SELECT word, words.n, coalesce(n_near, 0) AS n_near,
+                 CASE WHEN b.n >= 2 * words.n THEN b.form END AS form,
+                 CASE WHEN b.n >= 2 * words.n THEN b.n END AS form_n
+          FROM words LEFT JOIN best USING (word)),
+led AS (SELECT word, word AS root FROM known WHERE form IS NULL
+        UNION ALL SELECT k.word, led.root FROM known k JOIN led ON k.form = led.word)
+SELECT word, form, root, n, n_near, form_n FROM known JOIN led USING (word)""",
 }
