@@ -36,6 +36,7 @@ SAMPLE_PER_CELL = 64
 BLOCK_WORDS = 1 << 17
 LEAF_WORDS = 16
 ASKED_AT_ONCE = 1 << 13
+PAIR_BYTES = 1 << 22
 COUNTED_AT_ONCE = 1 << 18
 # a to z, and all other letters in six groups: fewer counts only widen a box
 LETTERS = 32
@@ -89,13 +90,19 @@ def vocabulary(
 
 
 def points_of(words: list[str]) -> np.ndarray:
-    """Letter counts of each word."""
+    """Letter counts of each word; counts past 127 are 127, which only widens a box."""
     size = np.fromiter(map(len, words), np.int64, len(words))
     codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
     letter = np.where((codes >= 97) & (codes <= 122), codes - 97, 26 + codes % (LETTERS - 26))
     at = np.repeat(np.arange(len(words)), size) * LETTERS + letter
     counts = np.bincount(at, minlength=len(words) * LETTERS)
-    return counts.reshape(len(words), LETTERS).astype(np.int32)
+    return np.minimum(counts, 127).reshape(len(words), LETTERS).astype(np.int8)
+
+
+def letters_of(words: list[str]) -> np.ndarray:
+    """Words of one length as rows of letters, all of which are single bytes in Latin-1."""
+    said = "".join(words).encode("latin-1")
+    return np.frombuffer(said, np.uint8).reshape(len(words), len(words[0]))
 
 
 @dataclass
@@ -217,17 +224,14 @@ class Cells:
                     ))
 
 
-def one_edit(shorter: str, longer: str) -> bool:
-    """Whether two different words, the second as long or one longer, are one edit apart."""
-    n = len(shorter)
-    low, high = 0, n
-    while low < high:  # the common beginning
-        middle = (low + high + 1) // 2
-        if shorter[low:middle] == longer[low:middle]:
-            low = middle
-        else:
-            high = middle - 1
-    return shorter[low + (len(longer) == n) :] == longer[low + 1 :]
+def one_edit(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which rows of letters are one edit apart; the second are as long or one longer."""
+    n = one.shape[1]
+    if other.shape[1] == n:
+        return (one != other).sum(1) == 1
+    same = one == other[:, :n]
+    begin = np.where(same.all(1), n, same.argmin(1))
+    return ((one == other[:, 1:]) | (np.arange(n) < begin[:, None])).all(1)
 
 
 def _visits(words: DataFrame, cells: Cells) -> DataFrame:
@@ -270,74 +274,93 @@ def _dealt(visits: DataFrame, block_words: int) -> DataFrame:
 
 
 class _Block:
-    """The words of one block, with a k-d tree over them."""
+    """The words of one block, best first, with a k-d tree over them."""
 
-    def __init__(self, words: list[str], counts: list[int]) -> None:
-        self.words, self.counts = words, counts
-        self.points = points_of(words)
+    def __init__(self, words: list[str], counts: np.ndarray) -> None:
+        order = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
+        self.words, self.counts = [words[i] for i in order], counts[order]
+        self.letters, self.points = letters_of(self.words), points_of(self.words)
         self.tree = grown(self.points, LEAF_WORDS)
 
-    def answer(self, words: list[str], length: int) -> Iterator[tuple[str, int, int, str]]:
-        """(word, near words, largest count of them, its word) for words with any near word here."""
-        points = points_of(words)
+    def _leaves(self, points: np.ndarray, up: int, down: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Words of a leaf with rows that reach it; rows come in parts where words are many."""
+        for leaf, of in reached(self.tree, points, np.arange(len(points)), up, down):
+            size = max(1, PAIR_BYTES // (LETTERS * len(leaf.members)))
+            for i in range(0, len(of), size):
+                yield leaf.members, of[i : i + size]
+
+    def near(self, asked: np.ndarray, points: np.ndarray, longer_by: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of rows asked for and words here that are one edit apart."""
+        up, down = steps(longer_by)
+        size = max(1, PAIR_BYTES // max(1, self.letters.shape[1]))
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for leaf, of in self._leaves(points, up, down):
+            apart = self.points[leaf][None] - points[of][:, None]
+            close = (np.maximum(apart, 0).sum(2) <= up) & (np.maximum(-apart, 0).sum(2) <= down)
+            rows, others = np.nonzero(close)
+            rows, others = of[rows], leaf[others]
+            for i in range(0, len(rows), size):
+                row, at = rows[i : i + size], others[i : i + size]
+                one, other = asked[row], self.letters[at]
+                ok = one_edit(one, other) if longer_by >= 0 else one_edit(other, one)
+                found.append((row[ok], at[ok]))
+        if not found:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+    def answer(self, words: list[str]) -> Iterator[dict]:
+        """Columns word, n_near, form_n, form of the words that have near words here."""
         size = np.fromiter(map(len, words), np.int64, len(words))
         for longer_by in (-1, 0, 1):
-            rows = np.flatnonzero(size == length - longer_by)
-            if not len(rows):
+            asked = [words[i] for i in np.flatnonzero(size == self.letters.shape[1] - longer_by)]
+            if not asked:
                 continue
-            up, down = steps(longer_by)
-            found: dict[int, tuple[int, int, str]] = {}
-            for leaf, of in reached(self.tree, points, rows, up, down):
-                apart = self.points[leaf.members][None] - points[of][:, None]
-                higher, lower = np.maximum(apart, 0).sum(2), np.maximum(-apart, 0).sum(2)
-                for i, j in np.argwhere((higher <= up) & (lower <= down)).tolist():
-                    row, at = int(of[i]), int(leaf.members[j])
-                    one, other = words[row], self.words[at]
-                    if one != other and (one_edit(one, other) if longer_by >= 0 else one_edit(other, one)):
-                        n, best, form = found.get(row, (0, 1, ""))
-                        mine = (-self.counts[at], other)
-                        found[row] = (n + 1, *min((best, form), mine))
-            for row, (n, best, form) in found.items():
-                yield words[row], n, -best, form
+            row, at = self.near(letters_of(asked), points_of(asked), longer_by)
+            n = np.bincount(row, minlength=len(asked))
+            best = np.full(len(asked), len(self.words))
+            np.minimum.at(best, row, at)
+            hit = np.flatnonzero(n)
+            yield {
+                "word": [asked[i] for i in hit],
+                "n_near": n[hit],
+                "form_n": self.counts[best[hit]],
+                "form": [self.words[i] for i in best[hit]],
+            }
 
 
 def _answers(dealt: DataFrame) -> DataFrame:
-    """Rows (word, n_near, form_n, form) from each block that has near words of a word."""
+    """Rows (word, n_near, form_n, form) from each block that has near words of a word.
+
+    Rows come by block, its words before those that ask.
+    """
     keys = ["length", "cell", "block"]
-    sorted_ = dealt.repartition(*keys).sortWithinPartitions(*keys, "asks")
+    in_order = dealt.repartition(*keys).sortWithinPartitions(*keys, "asks")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         current, block = None, None
-        held: tuple[list[str], list[int]] = ([], [])
-        asking: list[str] = []
-
-        def answered() -> Iterator[dict]:
-            nonlocal block
-            if block is None and held[0]:
-                block = _Block(*held)
-            found = list(block.answer(asking, current[0])) if block and asking else []
-            asking.clear()
-            if found:
-                yield dict(zip(("word", "n_near", "form_n", "form"), map(list, zip(*found)), strict=True))
-
+        words: list[str] = []
+        counts: list[np.ndarray] = []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in (*keys, "asks", "word", "n")]
-            for *key, asks, word, n in zip(*columns, strict=True):
+            columns = np.stack([np.asarray(batch.column(c).cast(pa.int64())) for c in keys])
+            asks = np.asarray(batch.column("asks").cast(pa.int8()))
+            said, n = batch.column("word").to_pylist(), np.asarray(batch.column("n"))
+            new = (columns[:, 1:] != columns[:, :-1]).any(0) | (asks[1:] != asks[:-1])
+            bounds = np.concatenate([[0], np.flatnonzero(new) + 1, [len(said)]])
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                if a == b:
+                    continue
+                key = columns[:, a].tolist()
                 if key != current:
-                    if current is not None:
-                        yield from answered()
-                    current, block, held = key, None, ([], [])
-                if asks:
-                    asking.append(word)
-                    if len(asking) >= ASKED_AT_ONCE:
-                        yield from answered()
-                else:
-                    held[0].append(word)
-                    held[1].append(n)
-        if current is not None:
-            yield from answered()
-
-    return map_partitions(sorted_, task, "word string, n_near bigint, form_n bigint, form string")
+                    current, block, words, counts = key, None, [], []
+                if not asks[a]:
+                    words += said[a:b]
+                    counts.append(n[a:b])
+                elif words:
+                    block = block or _Block(words, np.concatenate(counts))
+                    for i in range(a, b, ASKED_AT_ONCE):
+                        yield from block.answer(said[i : min(b, i + ASKED_AT_ONCE)])
+
+    return map_partitions(in_order, task, "word string, n_near bigint, form_n bigint, form string")
 
 
 def neighbours(
