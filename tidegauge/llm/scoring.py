@@ -34,10 +34,10 @@ from tidegauge.llm.batches import (
 from tidegauge.llm.jaccard import row_key
 from tidegauge.session import materialize
 
-BLOCK_BYTES = 128 << 20
+BLOCK_BYTES = 64 << 20
 PIECE = 1 << 19  # bytes of text whose grams are looked at together
 GRAMS_AT_ONCE = 1 << 19
-MERGE_AT = 1 << 22
+MERGE_AT = 1 << 20
 GRAM, WORD, TEXT = 0, 1, 2
 
 
@@ -119,7 +119,7 @@ def _listed(texts: DataFrame) -> DataFrame:
                     rows = np.flatnonzero((of == own) & (held != learned))
                     column = batch.column("text").take(pa.array(rows))
                     whole, offsets = utf8(column)
-                    for a, b in pieces(offsets):
+                    for a, b in pieces(offsets, PIECE):
                         at = offsets[a : b + 1]
                         tallies[GRAM].add(grams_of(whole[at[0] : at[-1]], at - at[0])[0], learned)
                     for w in words(column, NOT_SPACE):
