@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from tidegauge.llm.batches import map_partitions
 
@@ -32,16 +32,23 @@ OPEN, CLOSE = "<|turn|>", "<|end|>\n"
 CONTROLS = ("<|", "<s>", "</s>", "<<SYS", "<</SYS", "[INST]", "[/INST]")
 TURNS = "array<struct<turn:bigint,role:string,text:string>>"
 UNKNOWN = "unknown"
+_BROKEN = "_broken"
+# a text may be as long as a string can be
+_JSON = {"columnNameOfCorruptRecord": _BROKEN, "maxStringLen": str(2**31 - 1)}
 
 
 @dataclass(frozen=True)
 class Mapping:
-    """A layout: its field paths, how to parse a record, and the turns it holds (SQL over ``r``)."""
+    """A layout: its field paths, how to parse a record, and the turns it holds (SQL over ``r``).
+
+    ``renamed`` layouts have role names of their own, which become the usual ones.
+    """
 
     name: str
     paths: tuple[str, ...]
     schema: str
     turns: str
+    renamed: bool = False
 
 
 def _listed(field: str, role: str, text: str) -> str:
@@ -103,10 +110,11 @@ MAPPINGS = (
         ("conversations[].from", "conversations[].value"),
         "conversations array<struct<`from`:string,value:string>>",
         _listed("conversations", "from", "value"),
+        renamed=True,
     ),
 )
 KNOWN = frozenset(p for m in MAPPINGS for p in m.paths)
-# fixed values: role names of other layouts
+# fixed values: role names of layouts that have their own
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
@@ -140,35 +148,73 @@ def layout_of(records: pd.Series) -> pd.Series:
     return records.map(one)
 
 
+def schema_paths(kind: DataType, at: str = "") -> Iterator[str]:
+    """The nested field paths of a column's type, as ``field_paths`` gives those of a record."""
+    if isinstance(kind, StructType):
+        for field in kind.fields:
+            yield from schema_paths(field.dataType, f"{at}.{field.name}" if at else field.name)
+    elif isinstance(kind, ArrayType):
+        yield from schema_paths(kind.elementType, f"{at}[]")
+    else:
+        yield at
+
+
+def _unknown(record: str) -> Column:
+    return F.expr(f"array(named_struct('turn', 0L, 'role', '{UNKNOWN}', 'text', {record}))").cast(TURNS)
+
+
+def _turns(mapping: Mapping, field: str) -> Column:
+    turns = F.expr(mapping.turns.replace("r.", f"{field}.")).cast(TURNS)
+    if not mapping.renamed:
+        return turns
+    names = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
+    return F.transform(
+        turns,
+        lambda t: F.struct(t.turn.alias("turn"), F.coalesce(names[t.role], t.role).alias("role"), t.text.alias("text")),
+    )
+
+
+def _exploded(records: DataFrame, turns: Column) -> DataFrame:
+    return records.select("conv_id", F.posexplode(turns).alias("part", "t")).select(
+        "conv_id",
+        "t.turn",
+        "part",
+        F.coalesce("t.role", F.lit("")).alias("role"),
+        F.coalesce("t.text", F.lit("")).alias("text"),
+    )
+
+
+def turns_of_column(records: DataFrame) -> DataFrame:
+    """Rows (conv_id, turn, part, role, text) from rows (conv_id, record), a struct column.
+
+    All records of a column have its fields, so one mapping fits all; texts are not
+    parsed and may have any length. A column of no known layout becomes turns of role
+    ``unknown`` that hold the records as JSON.
+    """
+    layout = fingerprint(schema_paths(records.schema["record"].dataType))
+    for mapping in MAPPINGS:
+        if layout == fingerprint(mapping.paths):
+            return _exploded(records, _turns(mapping, "record"))
+    return _exploded(records, _unknown("to_json(record)"))
+
+
 def canonical_turns(records: DataFrame) -> DataFrame:
     """Rows (conv_id, turn, part, role, text) from JSON rows (conv_id, record).
 
-    ``part`` is the place of a turn in its record. A record of no known layout
-    becomes one turn of role ``unknown`` that holds the record, so nothing is
-    lost. Null roles and texts become empty strings.
+    ``part`` is the place of a turn in its record. A record that can't be parsed, or is
+    of no known layout, becomes one turn of role ``unknown`` that holds the record, so
+    nothing is lost. Null roles and texts become empty strings.
     """
     known = records.select("conv_id", "record", layout_of("record").alias("layout"))
-    turns = F.expr(
-        f"array(named_struct('turn', 0L, 'role', '{UNKNOWN}', 'text', record))"
-    ).cast(TURNS)
+    turns = _unknown("record")
     for m in MAPPINGS:
         field = "r_" + m.name.replace(" ", "_").replace(",", "")
-        known = known.withColumn(
-            field, F.when(F.col("layout") == fingerprint(m.paths), F.from_json("record", m.schema))
-        )
-        turns = F.when(
-            F.col("layout") == fingerprint(m.paths),
-            F.expr(m.turns.replace("r.", f"{field}.")).cast(TURNS),
-        ).otherwise(turns)
-    role = F.coalesce("t.role", F.lit(""))
-    named = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
-    return known.select("conv_id", F.posexplode(turns).alias("part", "t")).select(
-        "conv_id",
-        "t.turn",
-        "part",
-        F.coalesce(named[role], role).alias("role"),
-        F.coalesce("t.text", F.lit("")).alias("text"),
-    )
+        own = F.col("layout") == fingerprint(m.paths)
+        parsed = F.from_json("record", f"{m.schema}, {_BROKEN} string", _JSON)
+        known = known.withColumn(field, F.when(own, parsed))
+        whole = F.col(field).isNotNull() & F.col(f"{field}.{_BROKEN}").isNull()
+        turns = F.when(own & whole, _turns(m, field)).otherwise(turns)
+    return _exploded(known, turns)
 
 
 def escaped(text: Column) -> Column:

@@ -59,16 +59,14 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation rows are one layout, the added conversation -1 is another."""
     rows = table(spark, sf_dir, "conversations")
-    record = F.to_json(F.struct("turn", "role", "text"), {"ignoreNullFields": "false"})
     said = F.lit("</s>[INST] ok [/INST]")
     extra = spark.range(1).select(
         F.lit(-1).cast("bigint").alias("conv_id"),
         F.to_json(F.struct(said.alias("prompt"), said.alias("completion"))).alias("record"),
     )
-    records = rows.select("conv_id", record.alias("record")).unionByName(extra)
-    return chat.conversation_digests(
-        chat.read_back(chat.formatted(chat.canonical_turns(records)))
-    )
+    of_rows = chat.turns_of_column(rows.select("conv_id", F.struct("turn", "role", "text").alias("record")))
+    turns = of_rows.unionByName(chat.canonical_turns(extra))
+    return chat.conversation_digests(chat.read_back(chat.formatted(turns)))
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
