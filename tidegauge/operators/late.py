@@ -60,12 +60,20 @@ def updated_window_counts(
         F.greatest(F.col("punctual"), F.lit(1).cast("bigint")).alias("first"),
         (F.col("punctual") + F.col("late")).alias("last"),
     )
-    # A window with very many updates is dealt out in blocks.
+    return numbered_results(results.withColumn("opening", F.col("first")))
+
+
+def numbered_results(results: DataFrame) -> DataFrame:
+    """One row (id, end_ts, cnt, tag) per count from ``first`` to ``last`` of a window.
+
+    The count ``opening`` is tagged ``first``, all others ``update``. A window with very
+    many updates is dealt out in blocks.
+    """
     block = F.lit(UPDATES_PER_BLOCK)
     blocks = results.withColumn("low", F.explode(F.sequence("first", "last", block)))
     high = F.least(F.col("low") + block - F.lit(1), F.col("last"))
     numbered = blocks.repartition("id", "end_ts", "low").withColumn(
         "cnt", F.explode(F.sequence("low", high))
     )
-    tag = F.when(F.col("cnt") == F.col("first"), "first").otherwise("update")
+    tag = F.when(F.col("cnt").eqNullSafe(F.col("opening")), "first").otherwise("update")
     return numbered.select("id", "end_ts", "cnt", tag.alias("tag"))
