@@ -30,10 +30,11 @@ from tidegauge.operators import (
     windows,
 )
 from tidegauge.plans import watermarks
-from tidegauge.session import prepare
+from tidegauge.session import prepare, shared_folder
 from tidegauge.sources import kafka
 from tidegauge.sources import readings as src
-from tidegauge.streaming import jobs
+from tidegauge.streaming import jobs, micro
+from tidegauge.streaming import operators as live
 
 try:
     import corpus_pipeline
@@ -151,11 +152,12 @@ def _kafka_decode(events: DataFrame) -> DataFrame:
     return kafka.decode_counts(records.select(*encoded.columns, "partition", "offset"))
 
 
-def _live(name: str, job: Callable[[DataFrame], DataFrame]) -> Query:
-    """Run a live job over the event table to its end."""
+def _live(operator: live.Live, of: Callable[[DataFrame], DataFrame]) -> Query:
+    """Run a live operator over what ``of`` makes of the event table, to its end."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return jobs.replay(job(src.stream_events(prepare(spark), sf_dir)), name)
+        stream = of(src.stream_events(prepare(spark), sf_dir))
+        return micro.replay(stream, operator, "live").results().drop("batch")
 
     return run
 
@@ -174,16 +176,63 @@ def _stream_tumbling_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_rolling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = prepare(spark).read.parquet(f"{sf_dir}/lineitem.parquet").schema
     triples = src.triples_of_lineitem(src.stream_table(spark, sf_dir, "lineitem", schema))
-    return jobs.replay(jobs.rolling_sum(triples, ["seq", "supplier", "f1"]), "rolling_sum")
+    operator = live.rolling_sum(["seq", "supplier", "f1"])
+    return micro.replay(triples, operator, "rolling_sum").results().drop("batch")
 
 
-def _in_steps(name: str, job: jobs.Job, steps: int = STEPS) -> Query:
-    """Run a live job over the disordered readings, in a few arrival steps."""
+def _stepped(spark: SparkSession, sf_dir: str, operator: live.Live, steps: int) -> micro.Replayed:
+    """Run a live operator over the disordered readings, in a few arrival steps."""
+    return micro.replay_in_steps(_disordered(spark, sf_dir), steps, operator, "stepped")
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return jobs.replay_in_steps(_disordered(spark, sf_dir), steps, job, name, 10 * DAY)
 
-    return run
+def _in_steps(operator: live.Live, steps: int = STEPS) -> Query:
+    return lambda spark, sf_dir: _stepped(spark, sf_dir, operator, steps).results().drop("batch")
+
+
+def _to_the_end(operator: live.Live, steps: int = STEPS) -> Query:
+    """With what windows still open give when the stream ends."""
+    return lambda spark, sf_dir: _stepped(spark, sf_dir, operator, steps).finished()
+
+
+def _stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest count of each window, of results that later batches correct."""
+    run = _stepped(spark, sf_dir, live.changing_window_counts(10 * HOUR), FEW_STEPS)
+    return micro.newest_results(run.results(), ["id", "end_ts"])
+
+
+def _stream_latest_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A look-up in the state as it was after the second of a few batches."""
+    run = _stepped(spark, sf_dir, live.latest_max(10 * HOUR), FEW_STEPS)
+    return latest.lookup(run.state(1), SHOWN)
+
+
+def _stream_resumed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the first half of the names in batch, of the others live from the state that left."""
+    names = src.names_of_events(_events(spark, sf_dir))
+    half = (names.agg(F.max("seq")).first()[0] or 0) // 2
+    recorded, operator = names.filter(F.col("seq") < half), live.name_counts()
+    rest = src.names_of_events(src.stream_events(spark, sf_dir)).filter(F.col("seq") >= half)
+    run = micro.replay(rest, operator, "resumed", initial=live.state_after(operator, recorded))
+    return rolling.name_counts(recorded).unionByName(run.results().drop("batch"))
+
+
+def _stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts in a table to look at, and as Kafka records in another, both from one query."""
+    names = src.names_of_events(src.stream_events(prepare(spark), sf_dir))
+    folder = shared_folder(spark, "two_sinks")
+    operator, checkpoint = live.name_counts(), f"{folder}/checkpoint"
+    sinks = [
+        micro.table_sink(f"{folder}/shown", lambda r: r.select("name", "count")),
+        micro.table_sink(f"{folder}/encoded", kafka.encode_counts),
+    ]
+    micro.start(names, operator, folder, checkpoint, sinks=sinks).awaitTermination()
+    shown = micro.read_results(spark, "name string, count bigint", folder, checkpoint, "shown")
+    encoded = micro.read_results(spark, "key binary, value binary", folder, checkpoint, "encoded")
+    return shown.select(
+        F.lit("shown").alias("sink"), F.col("name").alias("key"), F.col("count").cast("string").alias("value")
+    ).unionByName(
+        encoded.select(F.lit("encoded").alias("sink"), F.hex("key").alias("key"), F.hex("value").alias("value"))
+    )
 
 
 def _display(rounding: Callable) -> Callable[[DataFrame], DataFrame]:
@@ -275,40 +324,36 @@ def _own_queries() -> dict[str, Query]:
         "dashboard_pivot": lambda spark, sf_dir: latest.dashboard(_latest(spark, sf_dir), SHOWN),
         # the same operators run live
         "stream_tumbling_max": _stream_tumbling_max,
-        "stream_running_count": _live(
-            "running_count", lambda e: jobs.name_counts(src.names_of_events(e))
-        ),
-        "stream_rolling_max_record": _live(
-            "rolling_max", lambda e: jobs.rolling_max_record(src.readings_of_events(e))
-        ),
-        "stream_temp_change_alerts": _live(
-            "change_alerts", lambda e: jobs.change_alerts(src.readings_of_events(e))
-        ),
+        "stream_running_count": _live(live.name_counts(), src.names_of_events),
+        "stream_rolling_max_record": _live(live.rolling_max_record(), src.readings_of_events),
+        "stream_temp_change_alerts": _live(live.change_alerts(), src.readings_of_events),
         "stream_switch_forward": _live(
-            "switch_forward",
-            lambda e: jobs.forward_switched(
+            live.forward_switched(),
+            lambda e: live.with_switches(
                 src.switchable_readings_of_events(e), src.switches_of_events(e)
             ),
         ),
         "stream_fire_alerts": _live(
-            "fire_alerts",
-            lambda e: jobs.fire_alerts(
+            live.fire_alerts(),
+            lambda e: live.with_levels(
                 src.smoke_readings_of_events(e), src.smoke_levels_of_events(e)
             ),
         ),
-        "stream_late_update_counts": _in_steps(
-            "late_updates",
-            lambda r: jobs.updated_window_counts(r, 10 * HOUR, LATENESS, 0),
-        ),
-        "stream_self_cleaning_alerts": _in_steps(
-            "self_cleaning", lambda r: jobs.self_cleaning_alerts(r, 1.7, HOUR, 0)
+        "stream_rolling_sum": _stream_rolling_sum,
+        "stream_late_update_counts": _to_the_end(
+            live.updated_window_counts(10 * HOUR, LATENESS, 0)
         ),
-        "stream_late_flag": _in_steps(
-            "late_flag",
-            lambda r: jobs.tag_late(r, 0).select("seq", "id", "timestamp", "is_late"),
-            FEW_STEPS,
+        "stream_early_fire_counts": _in_steps(live.early_window_counts(240 * HOUR, DAY, 0)),
+        "stream_self_cleaning_alerts": _in_steps(live.self_cleaning_alerts(1.7, HOUR, 0)),
+        "stream_late_flag": _in_steps(live.tag_late(0), FEW_STEPS),
+        "stream_late_window_rows": _in_steps(live.tag_late(0, 10 * HOUR), FEW_STEPS),
+        "stream_late_punctuated": _in_steps(
+            live.tag_late_punctuated("sensor_1", 60 * HOUR), FEW_STEPS
         ),
-        "stream_rolling_sum": _stream_rolling_sum,
+        "stream_window_counts": _stream_window_counts,
+        "stream_latest_lookup": _stream_latest_lookup,
+        "stream_resumed_counts": _stream_resumed_counts,
+        "stream_two_sinks": _stream_two_sinks,
         # Kafka record format
         "kafka_encode_counts": _on_events(_kafka_encode),
         "kafka_decode_counts": _on_events(_kafka_decode),
@@ -415,15 +460,35 @@ SELECT p.id, p.end_ts, p.ev AS eval_time, count(*) AS cnt
 FROM points p JOIN accepted a ON a.id = p.id AND a.end_ts = p.end_ts AND a.seq <= p.j
 GROUP BY p.id, p.end_ts, p.j, p.ev"""
 
-def _sql_stepped(steps: int) -> str:
+def _sql_step(steps: int) -> str:
+    return f"""stepped AS (
+  SELECT *, seq // ((SELECT max(seq) FROM disordered) // {steps} + 1) AS step FROM disordered)"""
+
+
+def _sql_stepped(steps: int, raises_to: str = '"timestamp" - 1') -> str:
     """Between steps only: the watermark, without a bound, is what earlier steps raised it to."""
-    return _DISORDERED + f""",
+    return _DISORDERED + f""", {_sql_step(steps)},
 marked AS (
   SELECT seq, id, "timestamp", temperature,
-         coalesce(max("timestamp" - 1) OVER (ORDER BY step
+         coalesce(max({raises_to}) OVER (ORDER BY step
            RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -9223372036854775807) AS wm
-  FROM (SELECT *, seq // ((SELECT max(seq) FROM disordered) // {steps} + 1) AS step
-        FROM disordered))"""
+  FROM stepped)"""
+
+
+_STEPPED_EARLY = f"""WITH {_DISORDERED}, {_sql_step(STEPS)},
+marks AS (SELECT step, max("timestamp" - 1) AS mark FROM stepped GROUP BY 1),
+wms AS (SELECT step, max(mark) OVER (ORDER BY step) AS after,
+               coalesce(max(mark) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                        -9223372036854775807) AS before FROM marks),
+accepted AS (SELECT * FROM (SELECT id, {_sql_end(240 * HOUR)} AS end_ts, step, before
+                            FROM stepped JOIN wms USING (step)) WHERE before < end_ts - 1),
+opened AS (SELECT id, end_ts, min(step) AS s0 FROM accepted GROUP BY 1, 2),
+points AS (SELECT id, end_ts, step, after FROM opened JOIN wms ON step >= s0 AND before < end_ts - 1
+           WHERE after >= end_ts - 1 OR before = -9223372036854775807
+             OR (after + 1) // {DAY} > (before + 1) // {DAY})
+SELECT p.id, p.end_ts, p.after AS eval_time, count(*) AS cnt
+FROM points p JOIN accepted a ON a.id = p.id AND a.end_ts = p.end_ts AND a.step <= p.step
+GROUP BY p.id, p.end_ts, p.step, p.after"""
 
 
 _LATE_UPDATES = """WITH {marked},
@@ -491,8 +556,26 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_rolling_sum"] = sql["rolling_sum"]
     sql["stream_late_update_counts"] = _sql_late_updates(_sql_stepped(STEPS))
     sql["stream_self_cleaning_alerts"] = _sql_self_cleaning(_sql_stepped(STEPS), HOUR)
-    sql["stream_late_flag"] = f"""WITH {_sql_stepped(FEW_STEPS)}
-SELECT seq, id, "timestamp", "timestamp" < wm AS is_late FROM marked"""
+    tagged = 'SELECT seq, id, "timestamp", temperature, {} AS is_late FROM marked'
+    stepped = f"WITH {_sql_stepped(FEW_STEPS)} "
+    sql["stream_late_flag"] = stepped + tagged.format('"timestamp" < wm')
+    sql["stream_late_window_rows"] = stepped + tagged.format(f"wm >= {_sql_end(10 * HOUR)} - 1")
+    markers = f"""CASE WHEN id = 'sensor_1' THEN "timestamp" - {60 * HOUR} END"""
+    sql["stream_late_punctuated"] = f"WITH {_sql_stepped(FEW_STEPS, markers)} " + tagged.format(
+        '"timestamp" < wm'
+    )
+    sql["stream_early_fire_counts"] = _STEPPED_EARLY
+    sql["stream_window_counts"] = f"""WITH {_DISORDERED}
+SELECT id, {_sql_end(10 * HOUR)} AS end_ts, count(*) AS cnt FROM disordered GROUP BY 1, 2"""
+    shown = ", ".join(f"'{i}'" for i in SHOWN)
+    sql["stream_latest_lookup"] = f"""WITH {_DISORDERED}, {_sql_step(FEW_STEPS)}
+SELECT id, max(end_ts) AS end_ts, max_by(temperature, end_ts) AS temperature FROM (
+  SELECT id, {_sql_end(10 * HOUR)} AS end_ts, max(temperature) AS temperature
+  FROM stepped WHERE step <= 1 AND id IN ({shown}) GROUP BY 1, 2) GROUP BY id"""
+    sql["stream_resumed_counts"] = sql["running_count"]
+    sql["stream_two_sinks"] = f"""WITH {_NAMES}
+SELECT 'shown' AS sink, name AS key, count::VARCHAR AS value FROM names
+UNION ALL SELECT 'encoded', hex(name), right('00000000' || hex(count), 8) FROM names"""
     if corpus:
         sql |= corpus.ORACLE_SQL
     return sql
