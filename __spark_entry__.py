@@ -7,18 +7,22 @@ spread over 30 days; a few that need longer state so below.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.functions import opaque
 from tidegauge.functions.scalar import (
     ONE_SPACE,
     WHITESPACE,
     round_half_down,
     round_half_up,
 )
-from tidegauge.functions.timeops import HOUR, tumbling
+from tidegauge.functions.timeops import HOUR, tumbling, window_end
 from tidegauge.operators import (
     alerts,
     control,
@@ -235,6 +239,67 @@ def _stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class MeanOf:
+    """A mean as a user would write it: an accumulator with a sum and a count."""
+
+    def create(self) -> tuple[float, int]:
+        return 0.0, 0
+
+    def add(self, state: tuple[float, int], value: float | None) -> tuple[float, int]:
+        return state if value is None else (state[0] + value, state[1] + 1)
+
+    def merge(self, one: tuple[float, int], other: tuple[float, int]) -> tuple[float, int]:
+        return one[0] + other[0], one[1] + other[1]
+
+    def result(self, state: tuple[float, int]) -> tuple[float | None]:
+        return (state[0] / state[1] if state[1] else None,)
+
+
+def _lowest_and_highest(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterable[tuple]:
+    """A window's function as a user would write it."""
+    found = [pc.min_max(batch.column("temperature")) for batch in batches]
+    yield min(f["min"].as_py() for f in found), max(f["max"].as_py() for f in found)
+
+
+def _words_of(line: str) -> Iterable[tuple]:
+    """A splitter as a user would write it: on white space; trailing empty words go."""
+    words = re.split(r"[ \t\n\x0b\f\r]+", line)
+    while len(words) > 1 and not words[-1]:
+        words.pop()
+    return [(word, 1) for word in words] if words[0] or len(words) > 1 or not line else []
+
+
+def _windowed(readings: DataFrame, size_ms: int) -> DataFrame:
+    return readings.withColumn("end_ts", window_end(F.col("timestamp"), size_ms))
+
+
+def _opaque_avg(readings: DataFrame) -> DataFrame:
+    placed = _windowed(readings, 15 * HOUR)
+    return _rounded(
+        opaque.aggregate(placed, ["id", "end_ts"], MeanOf(), ["temperature"], "temperature double")
+    )
+
+
+def _opaque_minmax(readings: DataFrame) -> DataFrame:
+    return opaque.apply_windows(
+        _windowed(readings, 5 * HOUR),
+        ["id", "end_ts"],
+        _lowest_and_highest,
+        ["temperature"],
+        "min double, max double",
+    )
+
+
+def _opaque_words(lines: DataFrame) -> DataFrame:
+    made = opaque.flat_map(lines.select("value"), _words_of, ["value"], "word string, count int")
+    return made.select("word", "count")
+
+
+def _opaque_celsius(readings: DataFrame) -> DataFrame:
+    converted = opaque.map_values(lambda f: (f - 32.0) * (5.0 / 9.0), "double")
+    return readings.withColumn("temperature", converted("temperature"))
+
+
 def _display(rounding: Callable) -> Callable[[DataFrame], DataFrame]:
     """To one place, where readings of two places have ties."""
     return lambda readings: readings.select(
@@ -322,6 +387,11 @@ def _own_queries() -> dict[str, Query]:
         "latest_max_per_key": _latest,
         "latest_lookup": lambda spark, sf_dir: latest.lookup(_latest(spark, sf_dir), SHOWN),
         "dashboard_pivot": lambda spark, sf_dir: latest.dashboard(_latest(spark, sf_dir), SHOWN),
+        # user functions in Python
+        "opaque_map_celsius": _on_readings(_opaque_celsius),
+        "opaque_flat_map_words": _on_lines(_opaque_words),
+        "opaque_aggregate_avg": _on_readings(_opaque_avg),
+        "opaque_window_minmax": _on_readings(_opaque_minmax),
         # the same operators run live
         "stream_tumbling_max": _stream_tumbling_max,
         "stream_running_count": _live(live.name_counts(), src.names_of_events),
@@ -552,6 +622,10 @@ def oracle_sql() -> dict[str, str]:
         "fire_alerts",
     ):
         sql[f"stream_{name}"] = sql[name]
+    sql["opaque_map_celsius"] = sql["to_celsius"]
+    sql["opaque_flat_map_words"] = sql["split_words_ws"]
+    sql["opaque_aggregate_avg"] = sql["tumbling_avg"]
+    sql["opaque_window_minmax"] = sql["tumbling_minmax"]
     sql["stream_tumbling_max"] = sql["tumbling_max"]
     sql["stream_rolling_sum"] = sql["rolling_sum"]
     sql["stream_late_update_counts"] = _sql_late_updates(_sql_stepped(STEPS))

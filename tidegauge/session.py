@@ -5,8 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import tidegauge
+
+# Functions travel to the Python workers whole, so that the package need not be
+# installed there.
+cloudpickle.register_pickle_by_value(tidegauge)
+
 ROCKSDB = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )

@@ -10,12 +10,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-import tidegauge
 from tidegauge.functions.scalar import reading_text
 from tidegauge.functions.timeops import HOUR, MINUTE, SECOND, whole_div
 from tidegauge.operators import windows
@@ -23,10 +21,6 @@ from tidegauge.operators.transforms import upper_names
 from tidegauge.session import ROCKSDB, shared_folder
 from tidegauge.streaming import processors as p
 
-# Processors travel to the Python workers whole, so that the package need not be
-# installed there.
-cloudpickle.register_pickle_by_value(tidegauge)
-
 Job = Callable[[DataFrame], DataFrame]
 
 READING_COLUMNS = ["seq", "id", "timestamp", "temperature"]
