@@ -36,6 +36,7 @@ from tidegauge.operators import (
 from tidegauge.plans import watermarks
 from tidegauge.session import prepare, shared_folder
 from tidegauge.sources import kafka
+from tidegauge.sources import lines as growing
 from tidegauge.sources import readings as src
 from tidegauge.streaming import jobs, micro
 from tidegauge.streaming import operators as live
@@ -220,6 +221,21 @@ def _stream_resumed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling.name_counts(recorded).unionByName(run.results().drop("batch"))
 
 
+def _stream_growing_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of lines that are appended to a folder in two goes, each read as it comes."""
+    documents = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    recorded = src.lines_of_documents(documents)
+    folder = shared_folder(spark, "growing")
+    words = None
+    for half in (0, 1):
+        part = recorded.filter(F.pmod("arrival", F.lit(200)) == 100 * half).select("value")
+        part.write.mode("append").text(f"{folder}/in")
+        live_lines = growing.stream_growing_lines(spark, f"{folder}/in")
+        words = transforms.words(live_lines.select("value"), ONE_SPACE)
+        jobs.start(words, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.schema(words.schema).parquet(f"{folder}/out")
+
+
 def _stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts in a table to look at, and as Kafka records in another, both from one query."""
     names = src.names_of_events(src.stream_events(prepare(spark), sf_dir))
@@ -424,6 +440,7 @@ def _own_queries() -> dict[str, Query]:
         "stream_latest_lookup": _stream_latest_lookup,
         "stream_resumed_counts": _stream_resumed_counts,
         "stream_two_sinks": _stream_two_sinks,
+        "stream_growing_words": _stream_growing_words,
         # Kafka record format
         "kafka_encode_counts": _on_events(_kafka_encode),
         "kafka_decode_counts": _on_events(_kafka_decode),
@@ -646,6 +663,7 @@ SELECT id, {_sql_end(10 * HOUR)} AS end_ts, count(*) AS cnt FROM disordered GROU
 SELECT id, max(end_ts) AS end_ts, max_by(temperature, end_ts) AS temperature FROM (
   SELECT id, {_sql_end(10 * HOUR)} AS end_ts, max(temperature) AS temperature
   FROM stepped WHERE step <= 1 AND id IN ({shown}) GROUP BY 1, 2) GROUP BY id"""
+    sql["stream_growing_words"] = sql["split_words_java"]
     sql["stream_resumed_counts"] = sql["running_count"]
     sql["stream_two_sinks"] = f"""WITH {_NAMES}
 SELECT 'shown' AS sink, name AS key, count::VARCHAR AS value FROM names
