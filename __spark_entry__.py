@@ -157,12 +157,15 @@ def _kafka_decode(events: DataFrame) -> DataFrame:
     return kafka.decode_counts(records.select(*encoded.columns, "partition", "offset"))
 
 
-def _live(operator: live.Live, of: Callable[[DataFrame], DataFrame]) -> Query:
+Operator = Callable[[], live.Live]  # made once there is a session
+
+
+def _live(operator: Operator, of: Callable[[DataFrame], DataFrame]) -> Query:
     """Run a live operator over what ``of`` makes of the event table, to its end."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = of(src.stream_events(prepare(spark), sf_dir))
-        return micro.replay(stream, operator, "live").results().drop("batch")
+        return micro.replay(stream, operator(), "live").results().drop("batch")
 
     return run
 
@@ -190,13 +193,13 @@ def _stepped(spark: SparkSession, sf_dir: str, operator: live.Live, steps: int)
     return micro.replay_in_steps(_disordered(spark, sf_dir), steps, operator, "stepped")
 
 
-def _in_steps(operator: live.Live, steps: int = STEPS) -> Query:
-    return lambda spark, sf_dir: _stepped(spark, sf_dir, operator, steps).results().drop("batch")
+def _in_steps(operator: Operator, steps: int = STEPS) -> Query:
+    return lambda spark, sf_dir: _stepped(spark, sf_dir, operator(), steps).results().drop("batch")
 
 
-def _to_the_end(operator: live.Live, steps: int = STEPS) -> Query:
+def _to_the_end(operator: Operator, steps: int = STEPS) -> Query:
     """With what windows still open give when the stream ends."""
-    return lambda spark, sf_dir: _stepped(spark, sf_dir, operator, steps).finished()
+    return lambda spark, sf_dir: _stepped(spark, sf_dir, operator(), steps).finished()
 
 
 def _stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -410,31 +413,31 @@ def _own_queries() -> dict[str, Query]:
         "opaque_window_minmax": _on_readings(_opaque_minmax),
         # the same operators run live
         "stream_tumbling_max": _stream_tumbling_max,
-        "stream_running_count": _live(live.name_counts(), src.names_of_events),
-        "stream_rolling_max_record": _live(live.rolling_max_record(), src.readings_of_events),
-        "stream_temp_change_alerts": _live(live.change_alerts(), src.readings_of_events),
+        "stream_running_count": _live(live.name_counts, src.names_of_events),
+        "stream_rolling_max_record": _live(live.rolling_max_record, src.readings_of_events),
+        "stream_temp_change_alerts": _live(live.change_alerts, src.readings_of_events),
         "stream_switch_forward": _live(
-            live.forward_switched(),
+            live.forward_switched,
             lambda e: live.with_switches(
                 src.switchable_readings_of_events(e), src.switches_of_events(e)
             ),
         ),
         "stream_fire_alerts": _live(
-            live.fire_alerts(),
+            live.fire_alerts,
             lambda e: live.with_levels(
                 src.smoke_readings_of_events(e), src.smoke_levels_of_events(e)
             ),
         ),
         "stream_rolling_sum": _stream_rolling_sum,
         "stream_late_update_counts": _to_the_end(
-            live.updated_window_counts(10 * HOUR, LATENESS, 0)
+            lambda: live.updated_window_counts(10 * HOUR, LATENESS, 0)
         ),
-        "stream_early_fire_counts": _in_steps(live.early_window_counts(240 * HOUR, DAY, 0)),
-        "stream_self_cleaning_alerts": _in_steps(live.self_cleaning_alerts(1.7, HOUR, 0)),
-        "stream_late_flag": _in_steps(live.tag_late(0), FEW_STEPS),
-        "stream_late_window_rows": _in_steps(live.tag_late(0, 10 * HOUR), FEW_STEPS),
+        "stream_early_fire_counts": _in_steps(lambda: live.early_window_counts(240 * HOUR, DAY, 0)),
+        "stream_self_cleaning_alerts": _in_steps(lambda: live.self_cleaning_alerts(1.7, HOUR, 0)),
+        "stream_late_flag": _in_steps(lambda: live.tag_late(0), FEW_STEPS),
+        "stream_late_window_rows": _in_steps(lambda: live.tag_late(0, 10 * HOUR), FEW_STEPS),
         "stream_late_punctuated": _in_steps(
-            live.tag_late_punctuated("sensor_1", 60 * HOUR), FEW_STEPS
+            lambda: live.tag_late_punctuated("sensor_1", 60 * HOUR), FEW_STEPS
         ),
         "stream_window_counts": _stream_window_counts,
         "stream_latest_lookup": _stream_latest_lookup,
