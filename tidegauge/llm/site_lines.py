@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.columns import quoted
 from tidegauge.session import materialize
 
 RATIO = 0.1
@@ -71,7 +72,7 @@ def without_boilerplate(
     """
     host = F.col(host) if isinstance(host, str) else host
     held = documents.select(
-        F.struct(*documents.columns).alias("_doc"), host.alias("host"), F.col(text).alias("text")
+        F.struct(*[quoted(c) for c in documents.columns]).alias("_doc"), host.alias("host"), F.col(text).alias("text")
     )
     drop = materialize(boilerplate(held.select("host", "text"), ratio, min_pages, distinct), "boilerplate")
     lines = F.split("text", "\n", -1)
