@@ -1,8 +1,12 @@
 """Document fingerprints: sketches that keep every shingle hash below a threshold.
 
-A sketch keeps a fixed fraction of the distinct shingle hashes of a text, so
-sketches of a short and of a very long text are comparable, their union is the
-sketch of both texts, and containment is estimated from what they share.
+A sketch keeps a fixed fraction of the distinct shingle hashes of a text, and none
+above the threshold, so sketches of a short and of a very long text are comparable,
+their union is the sketch of both texts, and containment is estimated from what they
+share. The fraction is one of a fixed ladder (``LADDER``): the coarsest that keeps
+enough hashes of the text, all hashes of a text too short for any. Two sketches are
+compared, and merged, at the coarser of their fractions; a sketch that has no hash
+there tells nothing, and its containment is null rather than 0.
 DataFrame functions only.
 """
 
@@ -12,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHINGLE = 5
-FRACTION = 4  # one hash in so many is kept
+LADDER = ((64, 64), (4, 16))  # one hash in so many is kept, where at least that many are
 BUCKETS_PER_PARTITION = 4
 
 _BREAK = r"[\x20\x09-\x0D]+"
@@ -36,49 +40,93 @@ def _shingle_hashes(words: str) -> Column:
     )
 
 
-def with_sketch(df: DataFrame, text: str, sketch: str, fraction: int = FRACTION) -> DataFrame:
-    """Adds the sketch of a text column: sorted distinct hashes.
+def _below(fraction: int) -> int:
+    return -(1 << 63) + (1 << 64) // fraction
 
-    Shingles are five words, or all words of a shorter text. Of a text none of
-    whose hashes is below the threshold the least hash is kept, so only texts
-    without words (null, empty, blank) have an empty sketch.
+
+def with_sketch(df: DataFrame, text: str, sketch: str) -> DataFrame:
+    """Adds the sketch of a text column: its fraction and its sorted distinct hashes.
+
+    Shingles are five words, or all words of a shorter text. The fraction is that of
+    ``LADDER``, or 1 where fewer hashes are below both thresholds than it asks for.
+    Texts without words (null, empty, blank) have no hashes, at the coarsest fraction.
     """
-    words, hashes = f"_{sketch}_words", f"_{sketch}_hashes"
-    below = -(1 << 63) + (1 << 64) // fraction
-    kept = F.filter(hashes, lambda h: h < below)
-    least = F.when(F.size(hashes) > 0, F.array(F.array_min(hashes))).otherwise(F.col(hashes))
-    return (
+    words, hashes, rung = f"_{sketch}_words", f"_{sketch}_hashes", f"_{sketch}_rung"
+    (coarse, many), (fine, some) = LADDER
+    df = (
         df.withColumn(words, _words(F.coalesce(F.col(text), F.lit(""))))
         .withColumn(hashes, _shingle_hashes(words))
         .drop(words)
-        .withColumn(sketch, F.array_sort(F.array_distinct(kept)))
-        .withColumn(sketch, F.when(F.size(sketch) > 0, F.col(sketch)).otherwise(least))
-        .drop(hashes)
+        .withColumn(rung, F.array_distinct(F.filter(hashes, lambda h: h < _below(fine))))
+    )
+    n_coarse = F.size(F.filter(rung, lambda h: h < _below(coarse)))
+    wordless = F.size(hashes) == 0
+    fraction = f"_{sketch}_fraction"
+    df = df.withColumn(
+        fraction,
+        F.when(wordless | (n_coarse >= many), coarse).when(F.size(rung) >= some, fine).otherwise(1),
     )
+    kept = (
+        F.when(F.col(fraction) == coarse, F.filter(rung, lambda h: h < _below(coarse)))
+        .when(F.col(fraction) == fine, F.col(rung))
+        .otherwise(F.array_distinct(hashes))
+    )
+    made = F.struct(F.col(fraction).alias("fraction"), F.array_sort(kept).alias("hashes"))
+    return df.withColumn(sketch, made).drop(hashes, rung, fraction)
+
+
+def _common(a: str, b: str) -> tuple[Column, Column, Column]:
+    """The coarser fraction of two sketches, and the hashes of each below its threshold."""
+    x, y = F.col(a), F.col(b)
+    fraction = F.greatest(x["fraction"], y["fraction"])
+    (coarse, _), (fine, _) = LADDER
+
+    def hashes(sketch: Column) -> Column:
+        return (
+            F.when(sketch["fraction"] == fraction, sketch["hashes"])
+            .when(fraction == coarse, F.filter(sketch["hashes"], lambda h: h < _below(coarse)))
+            .otherwise(F.filter(sketch["hashes"], lambda h: h < _below(fine)))
+        )
+
+    return fraction, hashes(x), hashes(y)
 
 
 def merged(a: str, b: str) -> Column:
-    """The sketch of two texts together."""
-    return F.array_sort(F.array_union(a, b))
+    """The sketch of two texts together, at the coarser of their fractions."""
+    x, y = F.col(a), F.col(b)
+    fraction, of_a, of_b = _common(a, b)
+    both = F.struct(fraction.alias("fraction"), F.array_sort(F.array_union(of_a, of_b)).alias("hashes"))
+    return F.when(F.size(x["hashes"]) == 0, y).when(F.size(y["hashes"]) == 0, x).otherwise(both)
 
 
 def containment(a: str, b: str) -> Column:
-    """Estimated share of the shingles of one text that are in the other (of ``a`` in ``b``)."""
-    return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a)).otherwise(1.0)
+    """Estimated share of the shingles of one text that are in the other (of ``a`` in ``b``).
+
+    1 for a text without words; null where no hash of ``a`` is below the threshold.
+    """
+    _, of_a, of_b = _common(a, b)
+    told = F.when(F.size(of_a) > 0, F.size(F.array_intersect(of_a, of_b)) / F.size(of_a))
+    return F.when(F.size(F.col(a)["hashes"]) == 0, 1.0).when(F.size(F.col(b)["hashes"]) == 0, 0.0).otherwise(told)
 
 
 def likeness(a: str, b: str) -> Column:
-    """Containment of the smaller sketch in the larger; 1 of two empty ones, 0 of one."""
-    least = F.least(F.size(a), F.size(b))
-    both = F.when(F.size(a) == F.size(b), 1.0).otherwise(0.0)
-    return F.when(least > 0, F.size(F.array_intersect(a, b)) / least).otherwise(both)
+    """Containment of the smaller sketch in the larger.
+
+    1 of two texts without words, 0 of one; null where a sketch has no hash below
+    the common threshold.
+    """
+    _, of_a, of_b = _common(a, b)
+    n_a, n_b = F.size(F.col(a)["hashes"]), F.size(F.col(b)["hashes"])
+    least = F.least(F.size(of_a), F.size(of_b))
+    told = F.when(least > 0, F.size(F.array_intersect(of_a, of_b)) / least)
+    return F.when((n_a == 0) & (n_b == 0), 1.0).when((n_a == 0) | (n_b == 0), 0.0).otherwise(told)
 
 
 def as_text(sketch: str) -> Column:
-    """A sketch as a string: 16 hex digits a hash, in order."""
-    return F.array_join(
-        F.transform(sketch, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), ""
-    )
+    """A sketch as a string: its fraction, a colon, and 16 hex digits a hash, in order."""
+    s = F.col(sketch)
+    digits = F.transform(s["hashes"], lambda h: F.lpad(F.lower(F.hex(h)), 16, "0"))
+    return F.concat(s["fraction"].cast("string"), F.lit(":"), F.array_join(digits, ""))
 
 
 def _bucket(bounds: list[int]) -> Column:
@@ -98,7 +146,8 @@ def with_next(documents: DataFrame, prepare=lambda df: df) -> DataFrame:
     """Rows (doc_id, text, ..., next): each row beside the next by doc_id, the last beside the first.
 
     Rows are dealt into ranges of ``doc_id``; each range also gets the first row of
-    the following one, so each row moves once and no task sees more than a range.
+    the following one, so each row moves once and no task sees more than a range and the rows of its last id
+    (rows of one id, or of none, are in one range).
     Only the bounds of the ranges, a fixed number, go through the driver. Rows of
     one id go by their text; null ids come first. ``prepare`` may add columns to
     the dealt rows; ``next`` is a struct of all columns.
@@ -138,14 +187,14 @@ def with_next(documents: DataFrame, prepare=lambda df: df) -> DataFrame:
     )
 
 
-def fingerprints_of_edits(documents: DataFrame, fraction: int = FRACTION) -> DataFrame:
+def fingerprints_of_edits(documents: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edit, whose last quarter comes from the next text.
 
     Columns: doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited,
-    near_next. Null texts are empty. One row per row of ``documents``; other
-    columns are not read.
+    near_next (0 where the fingerprints don't tell). Null texts are empty. One row per row
+    of ``documents``; other columns are not read.
     """
-    rows = with_next(documents, lambda df: with_sketch(df, "text", "sketch", fraction))
+    rows = with_next(documents, lambda df: with_sketch(df, "text", "sketch"))
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(
@@ -158,12 +207,12 @@ def fingerprints_of_edits(documents: DataFrame, fraction: int = FRACTION) -> Dat
         "sketch",
         F.col("next.sketch").alias("next_sketch"),
     )
-    return with_sketch(rows, "edited", "edited_sketch", fraction).select(
+    return with_sketch(rows, "edited", "edited_sketch").select(
         "doc_id",
         "n_chars",
         "edited",
         as_text("sketch").alias("fingerprint"),
         as_text("edited_sketch").alias("edited_fingerprint"),
-        likeness("sketch", "edited_sketch").alias("near_edited"),
-        likeness("sketch", "next_sketch").alias("near_next"),
+        F.coalesce(likeness("sketch", "edited_sketch"), F.lit(0.0)).alias("near_edited"),
+        F.coalesce(likeness("sketch", "next_sketch"), F.lit(0.0)).alias("near_next"),
     )
