@@ -31,10 +31,10 @@ _INVERSE = np.uint64(pow(int(_STEP), -1, 1 << 64))
 
 
 def map_partitions(
-    df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
+    df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str | StructType
 ) -> DataFrame:
     """Apply ``task`` to the batches of each partition; it yields columns by name."""
-    to = to_arrow_schema(StructType.fromDDL(schema))
+    to = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in task(batches):
@@ -45,7 +45,7 @@ def map_partitions(
 
 
 def map_arrow(
-    df: DataFrame, rows: Callable[[pa.RecordBatch], Iterable[dict]], schema: str
+    df: DataFrame, rows: Callable[[pa.RecordBatch], Iterable[dict]], schema: str | StructType
 ) -> DataFrame:
     """Apply ``rows`` to each batch; it yields columns by name."""
 

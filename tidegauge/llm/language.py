@@ -3,8 +3,8 @@
 N-grams of one to three characters are hashed to a fixed number of features.
 Document frequencies are counted over all training rows. The weights are learned
 with follow-the-regularised-leader and elastic-net penalties on a bounded, seeded
-sample of the training rows (``SAMPLE_ROWS`` over all languages, in equal parts);
-a part of the sample that is not learned from calibrates the temperature. What
+sample of the different training texts (``SAMPLE_ROWS`` over all languages, in equal
+parts; copies of a text in one language are drawn and learned once); a part of the sample that is not learned from calibrates the temperature. What
 reaches the driver is the model: features by languages.
 """
 
@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidegauge.llm.batches import map_arrow, map_partitions, mixed
 from tidegauge.session import materialize
@@ -30,10 +31,14 @@ CALIBRATION = 5  # one sample row in so many
 UNDETERMINED = "und"
 ABOVE_CHANCE = 1 / 15  # of the way from an even score to certainty; 0.3 with four languages
 
-_LETTER = re.compile(r"[^\W\d_]")
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter, as ``\\p{L}`` has it: number signs such as ½ are none."""
+    return any(map(str.isalpha, text))
+
+
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Features of a whole text and how often each occurs."""
     said = f" {_NOT_LETTER.sub(' ', text.lower())} ".encode("utf-32-le")
@@ -116,7 +121,7 @@ class Model:
     temperature: float
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if text is None or not self.languages or not _LETTER.search(text):
+        if text is None or not self.languages or not has_letter(text):
             return UNDETERMINED, 0.0
         found, counts = features(text)
         p = _softmax(_weighted(found, counts, self.idf) @ self.weights[found] / self.temperature)
@@ -140,7 +145,10 @@ def document_frequencies(texts: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Learn from rows (text, lang); null texts, texts without letters and null langs are left out."""
+    """Learn from rows (text, lang); null texts, texts without letters and null langs are left out.
+
+    The sample is ``sample_rows`` rows in expectation, however often a text is repeated.
+    """
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     languages = sorted(counts)
@@ -157,6 +165,7 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     drawn = (
         rows.select("text", "lang", order.alias("place"))
         .filter((F.pmod("place", F.lit(1 << 20)) / (1 << 20)) < chance[F.col("lang")])
+        .distinct()
         .orderBy("place", "lang")
     )
     fitted = _fit(materialize(drawn, "language-sample"), languages, idf)
@@ -215,8 +224,9 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
             "score": [score for _, score in found],
         }
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if f.name in kept)
-    return map_arrow(documents, rows, f"{fields}, lang_pred string, score double")
+    fields = [StructField(f.name, f.dataType) for f in documents.schema if f.name in kept]
+    added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    return map_arrow(documents, rows, StructType(fields + added))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
