@@ -9,8 +9,9 @@ What is left joins sets to groups; within a group all pairs are verified exactly
 
 No pair is ever a row. A bucket gives at most one link per member (a spanning
 forest of the pairs left), a group gives each member its number of links and
-again a forest. Buckets and groups above ``BLOCK`` members are cut into blocks,
-and each pair of blocks is a unit of work of its own.
+again a forest. Buckets and groups above ``BLOCK`` members, and groups above
+``BLOCK_SHINGLES`` shingles in all, are cut into blocks, and each pair of blocks is a
+unit of work of its own, so a unit of long texts has fewer of them.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.batches import Words, map_arrow, map_partitions, words
+from tidegauge.llm.columns import quoted
 from tidegauge.llm.components import components
 from tidegauge.session import materialize
 
@@ -35,6 +37,7 @@ HASHES = BANDS * BAND_ROWS
 STEP = 16
 TOLERANCE = 1e-6
 BLOCK = 1024
+BLOCK_SHINGLES = 1 << 21  # about 12 MB of text
 PAIRS_AT_ONCE = 1 << 18
 
 _SEEDS = np.random.default_rng(20240607)
@@ -125,9 +128,12 @@ class Forest:
             self.up[max(i, j)] = min(i, j)
 
 
-def in_blocks(members: DataFrame, size: str, key: str) -> DataFrame:
-    """Adds ``block`` and the pairs of blocks (p, q) that a member has to be in."""
-    n = F.ceil(F.col(size) / F.lit(BLOCK)).cast("int")
+def in_blocks(members: DataFrame, blocks: Column, key: str) -> DataFrame:
+    """Adds ``block`` and the pairs of blocks (p, q) that a member has to be in.
+
+    ``blocks`` is the number of blocks of the member's bucket or group.
+    """
+    n = blocks.cast("int")
     block = F.pmod(F.xxhash64(key), n).cast("int")
     dealt = members.withColumn("block", block)
     pairs = F.transform(
@@ -211,7 +217,7 @@ def _candidate_links(sets: DataFrame) -> DataFrame:
     )
     by = ["band", "value", "p", "q"]
     dealt = (
-        in_blocks(members, "count", "set_key")
+        in_blocks(members, F.ceil(F.col("count") / F.lit(BLOCK)), "set_key")
         .select(*by, "block", "set_key", "sketch")
         .repartition(*by)
         .sortWithinPartitions(*by, "set_key")
@@ -273,11 +279,11 @@ def exact_links(sets: list[np.ndarray], blocks: np.ndarray, p: int, q: int, thre
 def _verified(groups: DataFrame, threshold: float) -> DataFrame:
     """Per member and unit of work: set_key, its exact links there, and its root in the forest.
 
-    ``groups`` has rows (label, size, set_key, text).
+    ``groups`` has rows (label, blocks, set_key, text).
     """
     by = ["label", "p", "q"]
     dealt = (
-        in_blocks(groups, "size", "set_key")
+        in_blocks(groups, F.col("blocks"), "set_key")
         .select(*by, "block", "set_key", "text")
         .repartition(*by)
         .sortWithinPartitions(*by, "set_key")
@@ -332,17 +338,15 @@ def near_duplicates(
             F.count(F.lit(1)).alias("n_copies"),
             F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch"),
+            F.first("n").alias("n"),
         ),
         "sets",
     )
-    labels = components(_candidate_links(sets))
-    sizes = materialize(labels.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "sizes")
-    chosen = materialize(
-        labels.withColumnRenamed("node", "set_key")
-        .join(sizes, "label")
-        .join(sets.select("set_key", "row_key"), "set_key"),
-        "chosen",
-    )
+    labels = components(_candidate_links(sets)).withColumnRenamed("node", "set_key")
+    members = materialize(labels.join(sets.select("set_key", "row_key", "n"), "set_key"), "members")
+    blocks = F.greatest(F.count(F.lit(1)) / F.lit(BLOCK), F.sum("n") / F.lit(BLOCK_SHINGLES))
+    sizes = members.groupBy("label").agg(F.ceil(blocks).alias("blocks"))
+    chosen = materialize(members.drop("n").join(sizes, "label"), "chosen")
     # the members grow with the rows, so they are never broadcast, at small sizes either
     texts = (
         held.select("row_key", "text")
@@ -389,13 +393,21 @@ def near_duplicates(
 
 
 def one_of_each_class(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The row of least id of each class, with all columns; rows alike in id and text count once."""
+    """The row of least id of each class, with all columns; rows alike in id and text count once.
+
+    Of rows alike in id and text the one whose other columns come first as JSON, nulls written out, stays.
+    """
     found = near_duplicates(documents, threshold=threshold)
     kept = materialize(found.filter("row_key = head_key").select("row_key").distinct(), "kept")
     key = "_row_key"
-    held = documents.withColumn(key, row_key(["doc_id", "text"]))
+    names = [f.name for f in documents.schema]
+    whole = F.struct(*[quoted(c) for c in names])
+    others = [quoted(c) for c in names if c not in ("doc_id", "text")]
+    rest = F.to_json(F.struct(*others), {"ignoreNullFields": "false"}) if others else F.lit("")
+    held = documents.select(row_key(["doc_id", "text"]).alias(key), whole.alias("_doc"), rest.alias("_rest"))
     return (
         held.join(kept.withColumnRenamed("row_key", key), key, "left_semi")
-        .dropDuplicates([key])
-        .drop(key)
+        .groupBy(key)
+        .agg(F.min_by("_doc", "_rest").alias("_doc"))
+        .select(*[F.col("_doc")[c].alias(c) for c in names])
     )
