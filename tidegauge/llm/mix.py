@@ -2,14 +2,13 @@
 
 Sources share the words of the whole corpus by weight. A source stops at
 ``max_epochs`` times its own size and what it leaves goes to the others by their
-weights, until none is above its cap. ``mixture`` gives each document its share in
-words, rounded by a seeded draw, so that the words taken of a source meet its
-target within a few words for any number of documents.
+weights, until none is above its cap.
 
-``mixed_documents`` takes these words of a source in whole documents: all documents
+The target of a source, rounded to a word, is taken in whole documents: all documents
 of the source are repeated equally often, and the rest of the words, less than one
 repetition of the source, is dealt to documents in the order of a seeded hash. One
-document of a source at most is cut, the one at which the words run out.
+document of a source at most is cut, the one at which the words run out. ``mixture``
+gives the words taken of each document, ``mixed_documents`` the repetitions themselves.
 """
 
 from __future__ import annotations
@@ -17,13 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.llm.columns import quoted
 from tidegauge.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = "mix-1"
-KEY_BITS, DIGIT_BITS = 63, 7
+KEY_DIGITS, DIGIT_BITS = 15, 10
+KEY_BITS = 4 * KEY_DIGITS
 
 
 def n_words(text: str = "text") -> Column:
@@ -78,41 +79,36 @@ def source_targets(
     return sources.select("source", "source_size", aimed.alias("target"))
 
 
-def draw(doc_id: str = "doc_id", seed: str = SEED) -> Column:
-    """A number in [0, 1) for each id; the same on every run."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-
-
 def mixture(documents: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken.
 
-    ``taken`` counts the words the mix takes of the document, repeats counted; it
-    never exceeds ``max_epochs`` times the size. Null texts have size 0, null
-    sources are one source, repeated rows are documents of their own, an empty
+    ``taken`` counts the words the mix takes of the document, repeats counted: the sum
+    of ``n_words_taken`` of its rows in ``mixed_documents``, never above ``max_epochs``
+    times the size. Over a source it is the target, rounded. Null texts have size 0,
+    null sources are one source, repeated rows are documents of their own, an empty
     table gives no rows. Other columns are not read.
     """
-    sized = materialize(
-        documents.select("doc_id", "source", n_words().alias("size")), "sizes"
+    sized, targets = _sized(documents, max_epochs, seed)
+    taken = _with_taken(sized, sized, targets, F.col("doc_id"))
+    t = targets.withColumnRenamed("source", "_source")
+    return taken.join(t, F.col("source").eqNullSafe(F.col("_source"))).select(
+        "doc_id", "size", "source_size", "target", "taken"
     )
-    targets = materialize(source_targets(sized, max_epochs=max_epochs), "targets")
-    return _taken(sized, targets, max_epochs, seed).drop("source")
 
 
-def _taken(sized: DataFrame, targets: DataFrame, max_epochs: int, seed: str) -> DataFrame:
-    exact = F.col("size") * (F.col("target") / F.col("source_size"))
-    taken = F.least(F.floor(exact + draw(seed=seed)), F.lit(max_epochs) * F.col("size"))
-    t = targets.withColumnRenamed("source", "_source")
-    return (
-        sized.join(t, F.col("source").eqNullSafe(F.col("_source")))
-        .drop("_source")
-        .withColumn("taken", F.when(F.col("size") > 0, taken).otherwise(0).cast("bigint"))
+def _sized(documents: DataFrame, max_epochs: int, seed: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, source, size, key) and rows (source, source_size, target)."""
+    sized = materialize(
+        documents.select("doc_id", "source", n_words().alias("size"), _key(seed).alias("key")), "sizes"
     )
+    return sized, materialize(source_targets(sized, max_epochs=max_epochs), "targets")
 
 
 def _key(seed: str) -> Column:
     """The place of a document in the order of the draw, from its id and text."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "text"), 64 - KEY_BITS)
+    said = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "text")]
+    digest = F.md5(F.concat_ws(":", F.lit(seed), *said))
+    return F.conv(F.substring(digest, 1, KEY_DIGITS), 16, 10).cast("bigint")
 
 
 def _cuts(keyed: DataFrame, budgets: DataFrame) -> tuple[DataFrame, int, bool]:
@@ -123,7 +119,7 @@ def _cuts(keyed: DataFrame, budgets: DataFrame) -> tuple[DataFrame, int, bool]:
     it is compared with ``cut``: documents below it are drawn whole, the ``n`` at it
     share ``left`` words. Each round fixes some bits, until one document is left at
     every cut; the last value tells that documents of one key remain. A source has
-    128 sums in a round, whatever its size.
+    1,024 sums in a round, whatever its size.
     """
     at, bits, tied = budgets.withColumn("cut", F.lit(0).cast("bigint")), KEY_BITS, True
     while tied and bits:
@@ -147,43 +143,58 @@ def _cuts(keyed: DataFrame, budgets: DataFrame) -> tuple[DataFrame, int, bool]:
     return at, bits, tied
 
 
-def mixed_documents(documents: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """The mix itself: one row per repetition, numbered from 0, with all columns.
-
-    A source gives as many words as ``mixture`` takes of it. Texts are whole but for
-    one repetition of one document of a source, which may be cut to its first words.
-    Documents of which nothing is taken are left out. Rows alike in id and text that
-    meet at the cut are told apart in one task.
-    """
-    size, key = n_words().alias("size"), _key(seed).alias("key")
-    sized = materialize(documents.select("doc_id", "source", size, key), "sizes")
-    targets = materialize(source_targets(sized, max_epochs=max_epochs), "targets")
-    words = (
-        _taken(sized, targets, max_epochs, seed)
-        .filter("size > 0")
-        .groupBy(F.col("source").alias("_source"))
-        .agg(F.sum("taken").alias("words"), F.sum("size").alias("all"))
+def _with_taken(rows: DataFrame, sized: DataFrame, targets: DataFrame, order: Column) -> DataFrame:
+    """Adds ``taken`` to rows (source, key, size, ...); ``order`` is that of rows of one key."""
+    words = F.floor(F.col("target") + 0.5).cast("bigint")
+    whole = F.expr("words div source_size")
+    budgets = (
+        targets.filter("source_size > 0")
+        .withColumn("words", words)
+        .select(
+            F.col("source").alias("_source"),
+            whole.alias("whole"),
+            (F.col("words") - whole * F.col("source_size")).alias("left"),
+        )
     )
-    whole = F.expr("words div all")
-    budgets = words.select("_source", whole.alias("whole"), (F.col("words") - whole * F.col("all")).alias("left"))
     keyed = sized.filter("size > 0").select("source", "key", "size")
     cuts, bits, tied = _cuts(keyed, materialize(budgets, "budgets"))
-    held = documents.select(F.struct(*documents.columns).alias("_doc"), "source", size, key).filter("size > 0")
-    marked = held.join(cuts, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
-        "place", F.shiftright("key", bits)
-    )
+    place = F.when(F.col("size") > 0, F.shiftright("key", bits))
+    marked = rows.join(cuts, F.col("source").eqNullSafe(F.col("_source")), "left").withColumn("place", place)
     drawn = F.when(F.col("place") < F.col("cut"), F.col("size")).when(F.col("place") == F.col("cut"), F.col("left"))
     if tied:
-        order = Window.partitionBy("_source").orderBy("size", F.to_json("_doc"))
-        before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        same = Window.partitionBy("_source").orderBy("size", order)
+        before = F.coalesce(F.sum("size").over(same.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         rest = F.least(F.greatest(F.col("left") - before, F.lit(0)), F.col("size"))
-        at_cut = marked.filter("place = cut").withColumn("drawn", rest)
-        marked = marked.filter("place <> cut").withColumn("drawn", drawn).unionByName(at_cut)
+        at_cut = F.coalesce(F.col("place") == F.col("cut"), F.lit(False))
+        marked = (
+            marked.filter(~at_cut)
+            .withColumn("drawn", drawn)
+            .unionByName(marked.filter(at_cut).withColumn("drawn", rest))
+        )
     else:
         marked = marked.withColumn("drawn", drawn)
-    taken = marked.withColumn(
-        "taken", F.col("whole") * F.col("size") + F.coalesce("drawn", F.lit(0))
-    ).filter("taken > 0")
+    taken = F.coalesce("whole", F.lit(0)) * F.col("size") + F.coalesce("drawn", F.lit(0))
+    return marked.withColumn("taken", taken.cast("bigint")).drop(
+        "_source", "whole", "left", "cut", "n", "place", "drawn"
+    )
+
+
+def mixed_documents(documents: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """The mix itself: one row per repetition, numbered from 0, with all columns.
+
+    A source gives as many words as ``mixture`` takes of it. Texts are whole but for
+    one repetition of one document of a source, which may be cut to its first words.
+    Documents of which nothing is taken are left out. Rows alike in id and text that
+    meet at the cut are told apart in one task.
+    """
+    sized, targets = _sized(documents, max_epochs, seed)
+    held = documents.select(
+        F.struct(*[quoted(c) for c in documents.columns]).alias("_doc"),
+        "source",
+        n_words().alias("size"),
+        _key(seed).alias("key"),
+    ).filter("size > 0")
+    taken = _with_taken(held, sized, targets, F.to_json("_doc")).filter("taken > 0")
     last = F.ceil(F.col("taken") / F.col("size")) - 1
     each = taken.select(
         "_doc", "size", "taken", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("repetition")

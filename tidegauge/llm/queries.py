@@ -182,7 +182,9 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id""",
     "op5_mix": rf"""
 WITH sized AS (SELECT doc_id, source,
-                      len(regexp_extract_all(coalesce(text, ''), '{mix.WORD}'))::BIGINT AS size
+                      len(regexp_extract_all(coalesce(text, ''), '{mix.WORD}'))::BIGINT AS size,
+                      ('0x' || substr(md5('{mix.SEED}:' || coalesce(doc_id::VARCHAR, '') || ':'
+                        || coalesce(text, '')), 1, {mix.KEY_DIGITS}))::BIGINT AS key
                FROM documents),
 s AS (SELECT source, size, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS w
       FROM (SELECT source, sum(size)::BIGINT AS size FROM sized GROUP BY 1)),
@@ -195,13 +197,13 @@ level AS (SELECT coalesce(arg_min((total - fixed)::DOUBLE / share::DOUBLE, (size
             FILTER (w * ((total - fixed)::DOUBLE / share::DOUBLE) <= 3 * size), 0) AS level FROM o),
 t AS (SELECT source, size AS source_size, least(w * level, (3 * size)::DOUBLE) AS target
       FROM s, level),
-d AS (SELECT doc_id, size, source_size, target,
-             ('0x' || substr(md5('{mix.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
-               / 4294967296.0::DOUBLE AS u
+d AS (SELECT doc_id, size, source_size, target, floor(target + 0.5)::BIGINT AS words,
+             coalesce(sum(size) OVER (PARTITION BY sized.source ORDER BY key
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
       FROM sized JOIN t ON sized.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
-       CASE WHEN size > 0 THEN least(floor(size * (target / source_size) + u), 3 * size) ELSE 0 END::BIGINT
-         AS taken FROM d""",
+       CASE WHEN size > 0 THEN words // source_size * size
+         + greatest(0, least(size, words % source_size - before)) ELSE 0 END::BIGINT AS taken FROM d""",
     "op10_site_lines": f"""
 WITH d AS (SELECT doc_id, source, text, row_number() OVER () AS r FROM documents),
 lines AS (SELECT r, source, unnest(string_split(text, chr(10))) AS line,
