@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm import decontaminate, jaccard, language, mix, site_lines
+from tidegauge.llm.columns import quoted
 from tidegauge.session import prepare, shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,7 +19,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language.train(docs.filter(~language.held_out()).select("text", "lang"))
     least = language.min_score(len(model.languages))
     known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= least)
-    held = docs.select(F.struct(*docs.columns).alias("doc"), "text")
+    held = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("doc"), "text")
     return language.predict(held, model).filter(known).select("doc.*")
 
 
@@ -27,7 +28,7 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Copies count once, as the next stage keeps one of them and needs its lines.
     """
-    kept = site_lines.without_boilerplate(docs, distinct=True).select(*docs.columns)
+    kept = site_lines.without_boilerplate(docs, distinct=True).select(*[quoted(c) for c in docs.columns])
     return kept.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
@@ -43,8 +44,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per repetition that the mix takes of a document."""
-    return mix.mixed_documents(docs)
+    """One row per repetition that the mix takes of a document; ``n_chars`` is of the text taken."""
+    return mix.mixed_documents(docs).withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
 STAGES: list[tuple[str, Stage]] = [
