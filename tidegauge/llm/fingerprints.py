@@ -57,14 +57,31 @@ def with_sketch(df: DataFrame, text: str, sketch: str, fraction: int = FRACTION)
     )
 
 
-def merged(a: str, b: str) -> Column:
-    """The sketch of two texts together."""
-    return F.array_sort(F.array_union(a, b))
+def _below(sketch: str, fraction: int) -> Column:
+    below = -(1 << 63) + (1 << 64) // fraction
+    return F.filter(sketch, lambda h: h < below)
+
+
+def merged(a: str, b: str, fraction: int = FRACTION) -> Column:
+    """The sketch of two texts together: hashes below the threshold, else the least of both."""
+    strict = _below(F.array_union(a, b), fraction)
+    least = F.slice(F.array_sort(F.array_union(a, b)), 1, 1)
+    return F.when(F.size(strict) > 0, F.array_sort(strict)).otherwise(least)
+
 
+def containment(a: str, b: str, fraction: int = FRACTION) -> Column:
+    """Estimated share of the shingles of one text that are in the other (of ``a`` in ``b``).
 
-def containment(a: str, b: str) -> Column:
-    """Estimated share of the shingles of one text that are in the other (of ``a`` in ``b``)."""
-    return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a)).otherwise(1.0)
+    1 if ``a`` has no words. Null, not 0, if no hash of ``a`` lies below the threshold and
+    ``b`` doesn't have the one it keeps: a longer text's sketch holds nothing to find it by.
+    """
+    strict = _below(a, fraction)
+    shared = F.size(F.array_intersect(strict, F.col(b))) / F.size(strict)
+    return (
+        F.when(F.size(strict) > 0, shared)
+        .when(F.size(a) == 0, 1.0)
+        .when(F.size(F.array_intersect(a, b)) > 0, 1.0)
+    )
 
 
 def likeness(a: str, b: str) -> Column:
