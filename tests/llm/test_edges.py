@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidegauge.llm import jaccard, language, mix
+from tidegauge.llm import fingerprints, jaccard, language, mix
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 ODD = "`my-col x` string, `a.b` bigint, `_doc` string, `key` string, `taken` bigint"
@@ -87,3 +87,33 @@ def test_taken_is_what_the_repetitions_hold(spark):
     assert +taken == held
     whole = sum(r.taken % r["size"] == 0 for r in mix.mixture(docs).filter(F.col("size") > 0).collect())
     assert whole >= docs.filter(F.length("text") > 0).count() - 6
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3, 7])
+@pytest.mark.parametrize("text", ["", "a", "ab", "Ab é", "one two  three 4 fünf", "x" * 15])
+def test_features_do_not_depend_on_the_chunk(monkeypatch, chunk, text):
+    whole = language.features(text)
+    monkeypatch.setattr(language, "CHUNK", chunk)
+    cut = language.features(text)
+    assert [a.tolist() for a in whole] == [a.tolist() for a in cut]
+
+
+def test_features_by_hand():
+    assert language.features("")[1].sum() == 1  # the pair of blanks around an empty text
+    assert language.features("ab")[1].sum() == 2 + 3 + 2
+
+
+def test_containment_of_a_short_text_is_never_a_false_zero(spark):
+    host = [f"w{i}" for i in range(2_000)]
+    rows = [(" ".join(host[i * 4 : i * 4 + 9]), " ".join(host)) for i in range(200)]
+    rows.append(("quite other words than any of those", " ".join(host)))
+    rows += [("", " ".join(host)), (None, "a b")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    df = fingerprints.with_sketch(fingerprints.with_sketch(df, "a", "sa"), "b", "sb")
+    got = df.select(
+        fingerprints.containment("sa", "sb").alias("c"),
+        fingerprints.merged("sa", "sb").alias("m"), "sb",
+    ).collect()
+    assert {r.c for r in got[:200]} == {1.0, None}
+    assert got[200].c in (0.0, None) and got[201].c == got[202].c == 1.0
+    assert all(r.m == r.sb for r in got[:200])  # the union's sketch is the host's

@@ -40,6 +40,7 @@ def map_partitions(
         for columns in task(batches):
             arrays = [as_array(columns[f.name], f.type) for f in to]
             yield pa.RecordBatch.from_arrays(arrays, schema=to)
+        pa.default_memory_pool().release_unused()  # the worker stays, for other tasks
 
     return df.mapInArrow(run, schema)
 
@@ -66,6 +67,12 @@ def as_array(values: object, kind: pa.DataType) -> pa.Array:
     return pa.array(values, type=kind)
 
 
+def values(column: pa.Array, rows: int = 256) -> Iterator[object]:
+    """Values of a column as Python objects, of a few rows at a time."""
+    for first in range(0, len(column), rows):
+        yield from column.slice(first, rows).to_pylist()
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string or binary column, and where each row begins and ends; null: empty."""
     column = column.cast(pa.large_binary()).fill_null(b"")
@@ -105,7 +112,7 @@ class Powers:
     @classmethod
     def upto(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            n = 1 << (n - 1).bit_length()
+            n = -(-n >> 18) << 18
             one = np.ones(n, np.uint64)
             one[1:] = _STEP
             cls.up = np.cumprod(one)

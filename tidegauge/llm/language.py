@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tidegauge.llm.batches import map_arrow, map_partitions, mixed
+from tidegauge.llm.batches import map_arrow, map_partitions, mixed, values
 from tidegauge.session import materialize
 
 FEATURES = 1 << 16
@@ -29,6 +29,7 @@ EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.1
 CALIBRATION = 5  # one sample row in so many
 UNDETERMINED = "und"
+CHUNK = 1 << 16  # characters whose grams are held at once
 ABOVE_CHANCE = 1 / 15  # of the way from an even score to certainty; 0.3 with four languages
 
 _NOT_LETTER = re.compile(r"[\W\d_]+")
@@ -42,12 +43,17 @@ def has_letter(text: str) -> bool:
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Features of a whole text and how often each occurs."""
     said = f" {_NOT_LETTER.sub(' ', text.lower())} ".encode("utf-32-le")
-    one = np.frombuffer(said, np.uint32).astype(np.uint64)
-    two = one[:-1] << np.uint64(21) | one[1:]
-    three = one[:-2] << np.uint64(42) | two[1:]
-    grams = np.concatenate([one[1:-1], two | np.uint64(1 << 63), three])
-    slots = (mixed(grams) >> np.uint64(64 - 16)).astype(np.int64)
-    counts = np.bincount(slots, minlength=FEATURES)
+    codes = np.frombuffer(said, np.uint32)
+    last = len(codes) - 1
+    counts = np.zeros(FEATURES, np.int64)
+    for at in range(0, len(codes), CHUNK):
+        one = codes[at : at + CHUNK + 2].astype(np.uint64)
+        two = one[:-1] << np.uint64(21) | one[1:]
+        three = one[:-2] << np.uint64(42) | two[1:]
+        single = one[int(at == 0) : min(CHUNK, last - at)]
+        grams = np.concatenate([single, two[:CHUNK] | np.uint64(1 << 63), three[:CHUNK]])
+        slots = (mixed(grams) >> np.uint64(64 - 16)).astype(np.int64)
+        counts += np.bincount(slots, minlength=FEATURES)
     found = np.flatnonzero(counts)
     return found, counts[found]
 
@@ -135,7 +141,7 @@ def document_frequencies(texts: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         n = np.zeros(FEATURES, np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
+            for text in values(batch.column("text")):
                 n[features(text)[0]] += 1
         found = np.flatnonzero(n)
         yield {"feature": found, "n": n[found]}
@@ -208,17 +214,18 @@ def _fit(sample: DataFrame, languages: list[str], idf: np.ndarray) -> DataFrame:
     return map_partitions(sample.coalesce(1), task, "feature int, weights array<double>")
 
 
-def predict(documents: DataFrame, model: Model) -> DataFrame:
+def predict(documents: DataFrame, model: Model, inside: str | None = None) -> DataFrame:
     """All columns of ``documents`` with lang_pred and score (these names are replaced).
 
     Null texts and texts without letters are ``und`` with score 0. Only the text
-    is looked at.
+    is looked at. ``inside`` names the struct column the text is in, if it is in one.
     """
     kept = [c for c in documents.columns if c not in ("lang_pred", "score")]
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
-        found = [shared.value.predict(t) for t in batch.column("text").to_pylist()]
+        texts = batch.column(inside).field("text") if inside else batch.column("text")
+        found = [shared.value.predict(t) for t in values(texts)]
         yield {c: batch.column(c) for c in kept} | {
             "lang_pred": [lang for lang, _ in found],
             "score": [score for _, score in found],
