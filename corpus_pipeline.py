@@ -19,8 +19,8 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language.train(docs.filter(~language.held_out()).select("text", "lang"))
     least = language.min_score(len(model.languages))
     known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= least)
-    held = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("doc"), "text")
-    return language.predict(held, model).filter(known).select("doc.*")
+    held = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("doc"))
+    return language.predict(held, model, inside="doc").filter(known).select("doc.*")
 
 
 def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
