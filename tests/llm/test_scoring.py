@@ -3,10 +3,15 @@
 import collections
 import math
 import re
+import tracemalloc
 import zlib
 from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
+
 from tidegauge.llm import scoring
+from tidegauge.llm.batches import NOT_SPACE, words
 
 DEPTH = 5
 HALF = Fraction(1, 2)
@@ -98,3 +103,19 @@ def test_scores_equal_a_tree_in_fractions(spark):
     assert sorted(got) == sorted(want)
     for context in (b"\0\0\0\0\0", b" the ", b"zzzzz"):
         assert sum(tree.byte(context, b) for b in range(256)) == 1
+
+
+def test_a_task_holds_little_beside_its_texts():
+    """Words of a block were hashed two megabytes at a time, with ten times that beside them."""
+    column = pa.array([f"The cat sat on a mat {i % 50} " * 150 for i in range(4000)])
+    tallies = (scoring.Tally(), scoring.Tally())
+    tracemalloc.start()
+    scoring.tell(column, True, tallies)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20
+    (_, n), (said, told) = (t.merge() for t in tallies)
+    assert n.sum() == sum(len(t) + 1 for t in column.to_pylist())
+    assert len(said) == 6 + 50 and told.sum() == 4000 * 150 * 7  # "the" is "The"
+    of_pieces = [np.concatenate([w.hash for w in words(column, NOT_SPACE, size)]) for size in (1, 10_000, 1 << 30)]
+    assert all((h == of_pieces[0]).all() for h in of_pieces)

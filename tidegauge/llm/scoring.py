@@ -24,7 +24,6 @@ from tidegauge.llm import ctw
 from tidegauge.llm.batches import (
     LOWER,
     NOT_SPACE,
-    map_arrow,
     map_partitions,
     mixed,
     pieces,
@@ -34,10 +33,12 @@ from tidegauge.llm.batches import (
 from tidegauge.llm.jaccard import row_key
 from tidegauge.session import materialize
 
-BLOCK_BYTES = 64 << 20
-PIECE = 1 << 19  # bytes of text whose grams are looked at together
-GRAMS_AT_ONCE = 1 << 19
-MERGE_AT = 1 << 20
+BLOCK_BYTES = 32 << 20
+PIECE = 1 << 18  # bytes of text whose grams or words are looked at together
+ROWS_AT_ONCE = 1 << 10
+GRAMS_AT_ONCE = 1 << 18
+MERGE_AT = 1 << 19
+PACK_AT = 1 << 17
 GRAM, WORD, TEXT = 0, 1, 2
 
 
@@ -89,6 +90,16 @@ class Tally:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
 
 
+def tell(column: pa.Array, learned: bool, tallies: tuple[Tally, Tally]) -> None:
+    """Add the grams and the words of texts to the tallies of each."""
+    whole, offsets = utf8(column)
+    for a, b in pieces(offsets, PIECE):
+        at = offsets[a : b + 1]
+        tallies[GRAM].add(grams_of(whole[at[0] : at[-1]], at - at[0])[0], learned)
+    for w in words(column, NOT_SPACE, PIECE):
+        tallies[WORD].add(w.hash, learned)
+
+
 def _listed(texts: DataFrame) -> DataFrame:
     """Rows (block, kind, value, n): what a block has, and how often its learned texts have it."""
     dealt = texts.select("block", "held", "text").repartition("block").sortWithinPartitions("block")
@@ -117,13 +128,9 @@ def _listed(texts: DataFrame) -> DataFrame:
                 block = own
                 for learned in (True, False):
                     rows = np.flatnonzero((of == own) & (held != learned))
-                    column = batch.column("text").take(pa.array(rows))
-                    whole, offsets = utf8(column)
-                    for a, b in pieces(offsets, PIECE):
-                        at = offsets[a : b + 1]
-                        tallies[GRAM].add(grams_of(whole[at[0] : at[-1]], at - at[0])[0], learned)
-                    for w in words(column, NOT_SPACE):
-                        tallies[WORD].add(w.hash, learned)
+                    for i in range(0, len(rows), ROWS_AT_ONCE):
+                        some = pa.array(rows[i : i + ROWS_AT_ONCE])
+                        tell(batch.column("text").take(some), learned, tallies)
         if block is not None:
             yield from told(block, tallies)
 
@@ -246,20 +253,34 @@ class Part:
 def _packed(parts: DataFrame) -> DataFrame:
     """Rows (block, kind, values, p) with many values each, for a leaner shuffle."""
 
-    def rows(batch: pa.RecordBatch) -> Iterator[dict]:
-        block, kind, value, p = (np.asarray(batch.column(c)) for c in ("block", "kind", "value", "p"))
+    def packed(held: list[pa.RecordBatch]) -> dict:
+        block, kind, value, p = (
+            np.concatenate([np.asarray(b.column(c)) for b in held]) for c in ("block", "kind", "value", "p")
+        )
         order = np.lexsort((kind, block))
         block, kind, value, p = block[order], kind[order], value[order], p[order]
         new = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (kind[1:] != kind[:-1])]))
         ends = np.append(new[1:], len(block))
-        yield {
+        return {
             "block": block[new],
             "kind": kind[new],
             "values": [value[a:b].tobytes() for a, b in zip(new, ends, strict=True)],
             "p": [p[a:b].tobytes() for a, b in zip(new, ends, strict=True)],
         }
 
-    return map_arrow(parts, rows, "block int, kind int, values binary, p binary")
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= PACK_AT:
+                yield packed(held)
+                held, size = [], 0
+        if size:
+            yield packed(held)
+
+    return map_partitions(parts, task, "block int, kind int, values binary, p binary")
 
 
 def scores(documents: DataFrame, id_col: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -336,7 +357,8 @@ def scores(documents: DataFrame, id_col: str = "doc_id", block_bytes: int = BLOC
                             found = found or [(np.empty(0, np.int64), np.empty(0))]
                             parts.append(Part(*(np.concatenate(c) for c in zip(*found, strict=True))))
                         gathered = ([], [])
-                    yield scored(batch.take(pa.array(chosen)), *parts)
+                    for i in range(0, len(chosen), ROWS_AT_ONCE):
+                        yield scored(batch.take(pa.array(chosen[i : i + ROWS_AT_ONCE])), *parts)
 
     def scored(batch: pa.RecordBatch, grams: Part, vocabulary: Part) -> dict:
         n = batch.num_rows
@@ -348,7 +370,7 @@ def scores(documents: DataFrame, id_col: str = "doc_id", block_bytes: int = BLOC
             at = offsets[a : b + 1]
             found, text = grams_of(whole[at[0] : at[-1]], at - at[0])
             score[a:b] = np.bincount(text, grams.find(found), b - a)
-        for w in words(column, NOT_SPACE):
+        for w in words(column, NOT_SPACE, PIECE):
             p = vocabulary.find(w.hash) if len(w.hash) else np.empty(0)
             new, row = np.isnan(p), w.row - w.first
             base[w.first : w.last] = np.bincount(row, np.where(new, unknown, p), w.last - w.first)
