@@ -120,6 +120,35 @@ def test_repeats(docs, rows, empty, keep_first, monkeypatch):
     assert repeats.without_repeats(empty).count() == 0
 
 
+def test_suffix_ranks_leave_out_what_is_met_once(monkeypatch):
+    rng = np.random.default_rng(7)
+    length, passage = 50, bytes(rng.integers(97, 123, 120, np.uint8))
+    for letters in (2, 3, 26):
+        blocks = [bytes(rng.integers(97, 97 + letters, n, np.uint8)) for n in (50, 51, 200, 333, 90)]
+        blocks += [blocks[2][20:90], b"a" * 120, b"a" * 70, b"x" + passage, passage + b"y", blocks[3][:60] + blocks[0]]
+        data, sizes = b"".join(blocks), np.array([len(b) for b in blocks])
+        ends = np.cumsum(sizes)
+        begin = np.concatenate([np.arange(e - z, e - length + 1) for e, z in zip(ends, sizes)])
+        parts = [data[s : s + length] for s in begin.tolist()]
+        ranks = repeats.suffix_ranks(np.frombuffer(data, np.uint8), length, begin)
+        seen, of = collections.Counter(parts), collections.defaultdict(set)
+        for part, rank in zip(parts, ranks.tolist()):
+            of[part].add(rank)
+            assert rank >= 0 or seen[part] == 1
+        told = {p: r for p, (r, *more) in ((p, sorted(x)) for p, x in of.items()) if r >= 0 and not more}
+        assert set(told) >= {p for p, n in seen.items() if n > 1} and len(set(told.values())) == len(told)
+        assert sorted(told, key=told.get) == sorted(told)
+    # blocks that share a gram and no more are not sorted once it is passed
+    gram, sorted_ = passage[:32], []
+    blocks = [bytes(rng.integers(97, 123, 384, np.uint8)) + gram + bytes(rng.integers(97, 123, 384, np.uint8)) for _ in range(50)]
+    data = np.frombuffer(b"".join(blocks), np.uint8)
+    begin = np.concatenate([np.arange(i * 800 + 100, i * 800 + 300) for i in range(50)])
+    unique = np.unique
+    monkeypatch.setattr(np, "unique", lambda x, **how: (sorted_.append(len(x)), unique(x, **how))[1])
+    assert (repeats.suffix_ranks(data, 400, begin) == -1).all()
+    assert sum(sorted_) < 2 * len(data)
+
+
 def test_fingerprints(docs, rows, empty):
     got = fingerprints.fingerprints_of_edits(docs).collect()
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
